@@ -46,6 +46,9 @@ def locations(texts: DataFrame) -> DataFrame:
     fields = ["kind", "house", "dir", "street", "type", "unit", "place"]
     forms = parts.groupBy(fields).agg(F.count(F.lit(1)).alias("n"))
     forms = cut(forms.withColumn("id", F.concat_ws("|", *fields)))
+    shorter = F.least(F.length("l.text"), F.length("r.text"))
+    misspelt = F.levenshtein("l.text", "r.text") <= F.when(shorter >= 9, 3).when(shorter >= 5, 2).otherwise(1)
+    swapped = F.array_sort(F.split("l.text", "")) == F.array_sort(F.split("r.text", ""))
     near = similar_pairs(
         forms.select("id", "kind", "house", "dir", "unit", F.col("street").alias("text")),
         "text",
@@ -53,6 +56,7 @@ def locations(texts: DataFrame) -> DataFrame:
         sizes=(1, 2),
         block=["kind", "house", "dir", "unit"],
         ordered=F.col("l.id") != F.col("r.id"),
+        also=misspelt | swapped,
     )
     x = forms.select(*[F.col(c).alias(f"x_{c}") for c in ["id", "type", "place", "street", "n"]])
     y = forms.select(*[F.col(c).alias(f"y_{c}") for c in ["id", "type", "place", "street", "n"]])
@@ -65,10 +69,7 @@ def locations(texts: DataFrame) -> DataFrame:
         ~F.col("x_place").rlike("^[0-9]+$") & (F.col("x_place") != "") & ~F.col("y_place").rlike("^[0-9]+$")
         & (F.levenshtein("x_place", "y_place") <= 2)
     )
-    longer = F.least(F.length("x_street"), F.length("y_street"))
-    misspelt = F.levenshtein("x_street", "y_street") <= F.when(longer >= 9, 3).when(longer >= 5, 2).otherwise(1)
-    swapped = F.array_sort(F.split("x_street", "")) == F.array_sort(F.split("y_street", ""))
-    ok = covered("type") & (covered("place") | typo_town) & (misspelt | swapped)
+    ok = covered("type") & (covered("place") | typo_town)
     # a street can only be a misspelling of one at least as frequent; an incomplete form has to give way to a complete one
     more = (F.col("y_n") > F.col("x_n")) | ((F.col("y_n") == F.col("x_n")) & (F.col("b") < F.col("a")))
     fuller = ((F.col("x_type") == "") & (F.col("y_type") != "")) | ((F.col("x_place") == "") & (F.col("y_place") != ""))

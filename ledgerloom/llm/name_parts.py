@@ -56,6 +56,7 @@ NO_EMPLOYER = {
     "best efforts", "refused", "home maker", "house wife", "housewife", "no employer", "not available", "in between jobs",
 }
 
+_MISTYPED_THE = {"the", "teh", "hte", "th", "te", "he", "thhe", "tthe", "thee", "tne", "tle"}
 _FORMAL: dict[str, list[str]] = {}
 for _formal, _short in NICKNAMES.items():
     for _s in _short.split():
@@ -119,6 +120,8 @@ def organization(text: str) -> dict[str, str]:
     """core: the words that tell an organization apart, run together; line: the sorted words of its trade."""
     t = re.sub(r"['’`.]", "", plain(text).replace("&", " and ").replace("+", " and "))
     words = [ORG_WORDS.get(w, w) for w in re.findall(r"[a-z0-9]+", t)]
+    if len(words) > 2 and words[0] in _MISTYPED_THE:
+        words = words[1:]
     plain_words = [w for w in words if w not in LEGAL]
     core = [w for w in plain_words if w not in INDUSTRY]
     line = [w for w in plain_words if w in INDUSTRY]

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import addresses
+from ledgerloom.llm import addresses, places, variants
 from ledgerloom.session import table
 
 
@@ -27,5 +27,52 @@ def p3_locations(spark: SparkSession, d: str) -> DataFrame:
     return placed.join(size, "location")
 
 
-QUERIES = {"p3_found": p3_found, "p3_locations": p3_locations}
+def _town(c: F.Column) -> F.Column:
+    return F.lower(F.regexp_replace(F.coalesce(c, F.lit("")), r"[^\p{L}]+", ""))
+
+
+def _zip(c: F.Column) -> F.Column:
+    """Five digits, leading zeros put back; empty if there are no digits."""
+    digits = F.regexp_extract(F.coalesce(c, F.lit("")), r"^\s*([0-9]{3,5})", 1)
+    return F.when(digits == "", "").otherwise(F.lpad(digits, 5, "0"))
+
+
+def _name_records(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    """Records of the two name fields, and (field, id, text) of employers with the smallest id of each text."""
+    gold = table(spark, d, "gold_contributor")
+    confirmed = table(spark, d, "contributor_group").select(F.col("contributor_id").alias("id")).distinct()
+    kind = F.upper(F.col("entity_type"))
+    own = gold.join(confirmed, "id", "left_anti").select(
+        F.lit("gold_contributor.name").alias("field"), "id", "name", _zip(F.col("zip")).alias("zip"), _town(F.col("city")).alias("town"),
+        "employer", "occupation", F.when(kind.isin("ORG", "COM", "PAC"), True).when(kind.isin("IND", "CAN"), False).alias("is_org"),
+    )
+    own = places.place_keys(own).select(*variants.RECORD)
+    bronze = table(spark, d, "bronze_md_contribution")
+    where = addresses.locations(_address_records(spark, d)).withColumnRenamed("text", "contributor_address")
+    kind = F.lower(F.trim("contributor_type"))
+    given = bronze.join(where, "contributor_address", "left").select(
+        F.lit("bronze_md_contribution.contributor_name").alias("field"), "id", F.col("contributor_name").alias("name"),
+        F.coalesce("location", F.lit("")).alias("place"), F.col("employer_name").alias("employer"), F.col("employer_occupation").alias("occupation"),
+        F.when(kind == "business", True).when(kind == "individual", False).alias("is_org"),
+    )
+    employers = (
+        gold.where("employer IS NOT NULL")
+        .groupBy(F.col("employer").alias("text"))
+        .agg(F.min("id").alias("id"))
+        .select(F.lit("gold_contributor.employer").alias("field"), "id", "text")
+    )
+    return own.unionByName(given), employers
+
+
+def p1_entities(spark: SparkSession, d: str) -> DataFrame:
+    """One row for each record of the three fields: its entity and how many records share it."""
+    members = variants.entity_members(*_name_records(spark, d)).select("field", "id", "cluster")
+    return members.join(members.groupBy("field", "cluster").agg(F.count(F.lit(1)).alias("n_records")), ["field", "cluster"])
+
+
+def p1_found(spark: SparkSession, d: str) -> DataFrame:
+    return variants.variant_pairs(variants.entity_members(*_name_records(spark, d)))
+
+
+QUERIES = {"p1_found": p1_found, "p1_entities": p1_entities, "p3_found": p3_found, "p3_locations": p3_locations}
 SQL: dict[str, str] = {}

@@ -77,22 +77,28 @@ def similar_pairs(
     sizes: Sequence[int] = (2, 3),
     block: Sequence[str] = (),
     ordered: Column | None = None,
+    also: Column | None = None,
 ) -> DataFrame:
     """(a, b, cos) of items of equal ``block`` values with cosine >= ``threshold``.
 
     Without ``ordered`` every pair comes once, a < b. ``ordered`` is a condition on the columns of ``l`` and ``r``
-    (aliases of the two items) that says which pairs to form instead.
+    (aliases of the two items, their texts as ``text``) that says which pairs to form instead; ``also`` is one more
+    that every pair must meet, checked before the dearer cosine.
     """
     vec = cut(vectors(items, text, sizes))
     posting = vec.withColumn("gram", F.explode(F.slice("vec", F.lit(1), prefix_length(F.col("vec"), threshold)))).withColumn(
         "gram", F.col("gram.gram")
     )
-    light = posting.drop("vec", text)
+    light = posting.drop("vec").withColumnRenamed(text, "text")
     wanted = ordered if ordered is not None else F.col("l.id") < F.col("r.id")
     on = (F.col("l.gram") == F.col("r.gram")) & wanted
+    if also is not None:
+        on = on & also
     for b in block:
         on = on & (F.col(f"l.{b}") == F.col(f"r.{b}"))
     pairs = light.alias("l").join(light.alias("r"), on).select(F.col("l.id").alias("a"), F.col("r.id").alias("b")).distinct()
+    # few bytes, much work: as many tasks as the session's shuffles have, whatever the size
+    pairs = pairs.repartition(int(items.sparkSession.conf.get("spark.sql.shuffle.partitions")), "a")
     v = vec.select("id", "vec")
     both = pairs.join(v.select(F.col("id").alias("a"), F.col("vec").alias("va")), "a").join(
         v.select(F.col("id").alias("b"), F.col("vec").alias("vb")), "b"
