@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -30,16 +30,26 @@ def table(spark: SparkSession, root: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{root}/{name}.parquet")
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder all executors share: ``spark.checkpoint.dir``; a folder of its own only in a session without it."""
+    given = spark.conf.get("spark.checkpoint.dir", None)
+    if given:
+        return given
+    global _own_folder
+    if _own_folder is None:
+        _own_folder = tempfile.mkdtemp(prefix="ledgerloom-")
+    return f"file://{_own_folder}"
+
+
+_own_folder: str | None = None
+
+
 def cut(df: DataFrame) -> DataFrame:
-    """``df`` materialised in the cluster's shared checkpoint folder, its lineage ended there.
+    """``df`` written as a table in the shared folder and read back, so its lineage ends there.
 
-    The folder is ``spark.checkpoint.dir`` of the session, so a lost executor costs nothing that was written. Only a
-    session without that setting (tests, a single machine) gets a folder of its own.
+    A lost executor costs nothing that was written, and the plans that follow start from true sizes and from no
+    inherited constraints (those of a checkpoint grow with every round of a loop).
     """
-    context = df.sparkSession.sparkContext
-    if not context.getCheckpointDir():
-        context.setCheckpointDir(
-            df.sparkSession.conf.get("spark.checkpoint.dir", None)
-            or tempfile.mkdtemp(prefix="ledgerloom-", dir=os.environ.get("TMPDIR"))
-        )
-    return df.checkpoint(eager=True)
+    path = f"{shared_folder(df.sparkSession)}/ledgerloom-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
