@@ -89,7 +89,9 @@ def similar_pairs(
     posting = vec.withColumn("gram", F.explode(F.slice("vec", F.lit(1), prefix_length(F.col("vec"), threshold)))).withColumn(
         "gram", F.col("gram.gram")
     )
-    light = posting.drop("vec").withColumnRenamed(text, "text")
+    # few bytes, much work: as many tasks as the session's shuffles have, whatever the size
+    tasks = int(items.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    light = posting.drop("vec").withColumnRenamed(text, "text").repartition(tasks, "gram", *block)
     wanted = ordered if ordered is not None else F.col("l.id") < F.col("r.id")
     on = (F.col("l.gram") == F.col("r.gram")) & wanted
     if also is not None:
@@ -97,8 +99,7 @@ def similar_pairs(
     for b in block:
         on = on & (F.col(f"l.{b}") == F.col(f"r.{b}"))
     pairs = light.alias("l").join(light.alias("r"), on).select(F.col("l.id").alias("a"), F.col("r.id").alias("b")).distinct()
-    # few bytes, much work: as many tasks as the session's shuffles have, whatever the size
-    pairs = pairs.repartition(int(items.sparkSession.conf.get("spark.sql.shuffle.partitions")), "a")
+    pairs = pairs.repartition(tasks, "a")
     v = vec.select("id", "vec")
     both = pairs.join(v.select(F.col("id").alias("a"), F.col("vec").alias("va")), "a").join(
         v.select(F.col("id").alias("b"), F.col("vec").alias("vb")), "b"
