@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import addresses, places, variants
+from ledgerloom.llm import addresses, leaks, places, reading, tokens, variants
 from ledgerloom.session import table
 
 
@@ -74,5 +74,32 @@ def p1_found(spark: SparkSession, d: str) -> DataFrame:
     return variants.variant_pairs(variants.entity_members(*_name_records(spark, d)))
 
 
-QUERIES = {"p1_found": p1_found, "p1_entities": p1_entities, "p3_found": p3_found, "p3_locations": p3_locations}
-SQL: dict[str, str] = {}
+def p8_ids(spark: SparkSession, d: str) -> DataFrame:
+    return tokens.encode(table(spark, d, "documents"), "doc_id", "text")
+
+
+def p8_decoded(spark: SparkSession, d: str) -> DataFrame:
+    """The corpus out of its ids again."""
+    return tokens.decode(p8_ids(spark, d))
+
+
+def p9_leaks(spark: SparkSession, d: str) -> DataFrame:
+    docs = table(spark, d, "documents").select("doc_id", "text")
+    items = table(spark, d, "eval_item").select("item_id", F.col("item_text").alias("text"))
+    return leaks.leaks(docs, items)
+
+
+def p9_found(spark: SparkSession, d: str) -> DataFrame:
+    return p9_leaks(spark, d).select("doc_id", "item_id")
+
+
+def p10_found(spark: SparkSession, d: str) -> DataFrame:
+    docs, labels = table(spark, d, "documents"), table(spark, d, "reading_label")
+    known = labels.select("doc_id", F.lit(True).alias("known")).distinct()
+    english = docs.join(known, "doc_id", "left").where("lang = 'en' OR known").select("doc_id", "text", "known")
+    levels = reading.reading_levels(english.select("doc_id", "text"), labels.select("doc_id", "reading_level"))
+    return levels.join(known, "doc_id", "left_anti")
+
+
+QUERIES = {"p10_found": p10_found, "p8_ids": p8_ids, "p8_decoded": p8_decoded, "p9_found": p9_found, "p9_leaks": p9_leaks, "p1_found": p1_found, "p1_entities": p1_entities, "p3_found": p3_found, "p3_locations": p3_locations}
+SQL: dict[str, str] = {"p8_decoded": "SELECT doc_id, text FROM documents"}
