@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import addresses, leaks, places, reading, tokens, variants
+from ledgerloom.llm import addresses, leaks, matching, places, reading, tokens, variants
 from ledgerloom.session import table
 
 
@@ -101,5 +101,48 @@ def p10_found(spark: SparkSession, d: str) -> DataFrame:
     return levels.join(known, "doc_id", "left_anti")
 
 
-QUERIES = {"p10_found": p10_found, "p8_ids": p8_ids, "p8_decoded": p8_decoded, "p9_found": p9_found, "p9_leaks": p9_leaks, "p1_found": p1_found, "p1_entities": p1_entities, "p3_found": p3_found, "p3_locations": p3_locations}
+def _day(c: str) -> F.Column:
+    shaped = F.when(F.trim(c).rlike(r"^\d{1,2}/\d{1,2}/\d{4}$"), F.trim(c))
+    return F.try_to_timestamp(shaped, F.lit("M/d/yyyy")).cast("date")
+
+
+def _register(spark: SparkSession, d: str) -> DataFrame:
+    closed = F.when(F.lower("committee_status") == "closed", _day("amended_date"))
+    return table(spark, d, "bronze_md_committee").select(
+        F.col("ccf_id").alias("key_id"), F.col("committee_name").alias("text"), _day("registered_date").alias("registered"),
+        closed.alias("closed"), F.lower("election_type").alias("cycle"),
+    )
+
+
+def p2_matches(spark: SparkSession, d: str) -> DataFrame:
+    """(row_id, ccf_id, confidence) of all rows that mean a registered committee, whatever their text."""
+    given = table(spark, d, "bronze_md_contribution").select(
+        F.col("id").alias("row_id"), F.col("receiving_committee").alias("text"),
+        F.coalesce(_day("contribution_date"), F.try_to_timestamp(F.concat(F.regexp_extract(F.coalesce("filing_period", F.lit("")), r"(\d{4})", 1), F.lit("-07-01"))).cast("date")).alias("day"),
+        F.col("office").alias("office_text"), F.lit(None).cast("string").alias("cycle"),
+    )
+    kind = F.when(F.col("election_year") % 4 == 2, "gubernatorial").when(F.col("election_year") % 4 == 0, "presidential")
+    filed = table(spark, d, "bronze_md_candidate").select(
+        F.col("id").alias("row_id"), F.col("committee_name").alias("text"),
+        _day_of_filing().alias("day"), F.col("office_name").alias("office_text"), kind.alias("cycle"),
+    )
+    return matching.match(given.unionByName(filed), _register(spark, d)).withColumnRenamed("key_id", "ccf_id")
+
+
+def _day_of_filing() -> F.Column:
+    text = F.regexp_extract(F.coalesce("filing_type_and_date", F.lit("")), r"(\d{1,2}/\d{1,2}/\d{4})", 1)
+    return F.try_to_timestamp(F.nullif(text, F.lit("")), F.lit("M/d/yyyy")).cast("date")
+
+
+def p2_found(spark: SparkSession, d: str) -> DataFrame:
+    """Matches of rows whose text is not identical to exactly one name of the register."""
+    once = table(spark, d, "bronze_md_committee").groupBy(F.col("committee_name").alias("text")).count().where("count = 1").select("text")
+    texts = table(spark, d, "bronze_md_contribution").select(F.col("id").alias("row_id"), F.col("receiving_committee").alias("text")).unionByName(
+        table(spark, d, "bronze_md_candidate").select(F.col("id").alias("row_id"), F.col("committee_name").alias("text"))
+    )
+    identical = texts.join(once, "text").select("row_id")
+    return p2_matches(spark, d).select("row_id", "ccf_id").join(identical, "row_id", "left_anti")
+
+
+QUERIES = {"p2_found": p2_found, "p2_matches": p2_matches, "p10_found": p10_found, "p8_ids": p8_ids, "p8_decoded": p8_decoded, "p9_found": p9_found, "p9_leaks": p9_leaks, "p1_found": p1_found, "p1_entities": p1_entities, "p3_found": p3_found, "p3_locations": p3_locations}
 SQL: dict[str, str] = {"p8_decoded": "SELECT doc_id, text FROM documents"}
