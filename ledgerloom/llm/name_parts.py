@@ -141,3 +141,24 @@ def names_employer(text: str | None) -> bool:
 def looks_like_organization(text: str) -> bool:
     words = [ORG_WORDS.get(w, w) for w in re.findall(r"[a-z0-9]+", re.sub(r"['’`.]", "", plain(text)))]
     return any(w in INDUSTRY or (w in LEGAL and w not in {"and", "of", "the", "co", "pc", "lp", "lc"}) for w in words)
+
+
+#: Short forms of occupations.
+JOBS = {
+    "carp": "carpenter", "driver": "truck driver", "pharm": "pharmacist", "elec": "electrician", "dir of sales": "sales director",
+    "sales dir": "sales director", "chief exec": "chief executive officer", "ceo": "chief executive officer", "financial adv": "financial advisor",
+    "fin advisor": "financial advisor", "pm": "project manager", "proj mgr": "project manager", "police ofcr": "police officer",
+    "officer": "police officer", "rn": "registered nurse", "nurse": "registered nurse", "re broker": "real estate broker",
+    "broker": "real estate broker", "admin asst": "administrative assistant", "admin assistant": "administrative assistant",
+    "sw engineer": "software engineer", "software eng": "software engineer", "vp": "vice president", "v p": "vice president",
+    "lawyer": "attorney", "atty": "attorney", "attorney at law": "attorney", "teacher": "school teacher", "tchr": "school teacher",
+    "prof": "professor", "acct": "accountant", "md": "physician", "m d": "physician", "doctor": "physician", "retd": "retired", "r n": "registered nurse",
+    "c e o": "chief executive officer", "p m": "project manager",
+}
+NO_JOB = {"", "n a", "none", "na", "nan", "not provided", "unknown", "information requested", "info requested per best efforts"}
+
+
+def job(text: str | None) -> str:
+    """The occupation a text names, short forms written out; empty if it names none."""
+    t = " ".join(re.findall(r"[a-z0-9]+", plain(text or "")))
+    return "" if t in NO_JOB else JOBS.get(t, t)

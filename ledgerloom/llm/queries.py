@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import addresses, leaks, matching, places, reading, tokens, variants
+from ledgerloom.llm import addresses, leaks, matching, places, reading, survivors, tokens, variants
 from ledgerloom.session import table
 
 
@@ -144,5 +144,14 @@ def p2_found(spark: SparkSession, d: str) -> DataFrame:
     return p2_matches(spark, d).select("row_id", "ccf_id").join(identical, "row_id", "left_anti")
 
 
-QUERIES = {"p2_found": p2_found, "p2_matches": p2_matches, "p10_found": p10_found, "p8_ids": p8_ids, "p8_decoded": p8_decoded, "p9_found": p9_found, "p9_leaks": p9_leaks, "p1_found": p1_found, "p1_entities": p1_entities, "p3_found": p3_found, "p3_locations": p3_locations}
+def p4_found(spark: SparkSession, d: str) -> DataFrame:
+    gold = table(spark, d, "gold_contributor")
+    groups = table(spark, d, "contributor_group")
+    members = groups.join(gold, groups["contributor_id"] == gold["id"]).select("group_id", "id", *survivors.FIELDS, "created_at")
+    fields = F.array(*[F.struct(F.lit(f).alias("field"), F.col(f).alias("text")) for f in survivors.FIELDS])
+    known = gold.select(F.inline(fields)).where("text IS NOT NULL").groupBy("field", "text").agg(F.count(F.lit(1)).alias("n"))
+    return survivors.survivors(members, known)
+
+
+QUERIES = {"p4_found": p4_found, "p2_found": p2_found, "p2_matches": p2_matches, "p10_found": p10_found, "p8_ids": p8_ids, "p8_decoded": p8_decoded, "p9_found": p9_found, "p9_leaks": p9_leaks, "p1_found": p1_found, "p1_entities": p1_entities, "p3_found": p3_found, "p3_locations": p3_locations}
 SQL: dict[str, str] = {"p8_decoded": "SELECT doc_id, text FROM documents"}
