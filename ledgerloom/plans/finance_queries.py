@@ -445,3 +445,83 @@ def stream_hourly(s: SparkSession, d: str) -> DataFrame:
     from ledgerloom.streaming.incremental import hourly_counts
 
     return hourly_counts(table(s, d, "events"))
+
+
+# ---- smaller operators ---------------------------------------------------------------------------------------------
+
+
+@query("""SELECT id FROM gold_candidate WHERE coalesce(abs(first_election_year - 2024) <= 2, false) OR coalesce(abs(last_election_year - 2024) <= 2, false)""")
+def cycle_window_filter(s: SparkSession, d: str) -> DataFrame:
+    near = F.coalesce(F.exists(F.filter(F.array("first_election_year", "last_election_year"), lambda y: y.isNotNull()), lambda y: F.abs(y - 2024) <= 2), F.lit(False))
+    return table(s, d, "gold_candidate").where(near).select("id")
+
+
+@query("""SELECT committee_type, count(*) AS n, CAST(count(candidate_id) AS DOUBLE) / count(*) AS linked_rate, CAST(count(party) AS DOUBLE) / count(*) AS party_rate
+  FROM gold_committee GROUP BY 1""")
+def enrichment_rate(s: SparkSession, d: str) -> DataFrame:
+    n = F.count(F.lit(1))
+    return table(s, d, "gold_committee").groupBy("committee_type").agg(
+        n.alias("n"), (F.count("candidate_id").cast("double") / n).alias("linked_rate"), (F.count("party").cast("double") / n).alias("party_rate")
+    )
+
+
+@query("""SELECT election_cycle, CAST(sum(n) AS DOUBLE) / count(*) AS avg_rows, max(n) AS most_rows, count(*) AS n_committees
+  FROM (SELECT election_cycle, recipient_committee_id, count(*) AS n FROM gold_contribution GROUP BY 1, 2) GROUP BY 1""")
+def rows_per_committee(s: SparkSession, d: str) -> DataFrame:
+    per = _fact(s, d).groupBy("election_cycle", "recipient_committee_id").agg(F.count(F.lit(1)).alias("n"))
+    return per.groupBy("election_cycle").agg(
+        (F.sum("n").cast("double") / F.count(F.lit(1))).alias("avg_rows"), F.max("n").alias("most_rows"), F.count(F.lit(1)).alias("n_committees")
+    )
+
+
+@query("""SELECT recipient_committee_id AS committee_id FROM gold_contribution WHERE election_cycle = 2024 AND recipient_committee_id IS NOT NULL
+  UNION SELECT conduit_committee_id FROM gold_contribution WHERE election_cycle = 2024 AND conduit_committee_id IS NOT NULL""")
+def committee_ids_union(s: SparkSession, d: str) -> DataFrame:
+    f = _fact(s, d).where("election_cycle = 2024")
+    return f.select(F.explode(F.array("recipient_committee_id", "conduit_committee_id")).alias("committee_id")).where("committee_id IS NOT NULL").distinct()
+
+
+@query(f"""WITH o AS (SELECT id, {_ORG} AS org FROM gold_contributor WHERE entity_type IN ('ORG','COM','PAC')),
+  m AS (SELECT id, min(id) OVER (PARTITION BY org) AS canonical FROM o)
+  SELECT f.id, coalesce(m.canonical, f.contributor_id) AS contributor_id FROM gold_contribution f LEFT JOIN m ON m.id = f.contributor_id""")
+def canonical_repoint(s: SparkSession, d: str) -> DataFrame:
+    from ledgerloom.plans.linkage import repoint_organizations
+
+    return repoint_organizations(_fact(s, d), table(s, d, "gold_contributor")).select("id", "contributor_id")
+
+
+@query(f"""SELECT recipient_committee_id, {_M} FROM gold_contribution WHERE source_system = 'FEC' AND source_transaction_id NOT LIKE '%E'
+  AND upper(coalesce(memo_text, '')) NOT LIKE '%EARMARK%' GROUP BY 1""")
+def committee_stats_legacy(s: SparkSession, d: str) -> DataFrame:
+    old = (F.col("source_system") == "FEC") & ~F.col("source_transaction_id").endswith("E") & ~F.upper(F.coalesce("memo_text", F.lit(""))).contains("EARMARK")
+    return _fact(s, d).where(old).groupBy("recipient_committee_id").agg(F.count(F.lit(1)).alias("n_contributions"), F.sum("amount").cast("decimal(18,2)").alias("total_amount"))
+
+
+@query(r"""SELECT id, split_part(n, ' ', -1) AS last, CASE WHEN contains(n, ' ') THEN regexp_replace(n, '\s\S+$', '') END AS first
+  FROM (SELECT id, regexp_replace(trim(name), '\s+', ' ', 'g') AS n FROM gold_candidate WHERE name IS NOT NULL)""")
+def full_name_split(s: SparkSession, d: str) -> DataFrame:
+    c = table(s, d, "gold_candidate").where("name IS NOT NULL").select("id", text.split_full_name(F.col("name")).alias("n"))
+    return c.select("id", "n.last", "n.first")
+
+
+@query()
+def silver_state_contributions(s: SparkSession, d: str) -> DataFrame:
+    from ledgerloom.plans.pipeline import silver_state_contributions as silver
+
+    return silver(table(s, d, "bronze_md_contribution"), table(s, d, "bronze_md_committee"))
+
+
+@query("""SELECT event_type, user_id, count(*) AS n, max(ts) AS last_ts, arg_max(event_id, (ts, event_id)) AS last_event FROM events GROUP BY 1, 2""")
+def latest_event_per_user(s: SparkSession, d: str) -> DataFrame:
+    g = table(s, d, "events").groupBy("event_type", "user_id").agg(F.count(F.lit(1)).alias("n"), F.max(F.struct("ts", "event_id")).alias("m"))
+    return g.select("event_type", "user_id", "n", F.col("m.ts").alias("last_ts"), F.col("m.event_id").alias("last_event"))
+
+
+@query("""SELECT recipient_committee_id, contributor_id, total, rk FROM (SELECT recipient_committee_id, contributor_id, CAST(sum(amount) AS DECIMAL(18,2)) AS total,
+  row_number() OVER (PARTITION BY recipient_committee_id ORDER BY sum(amount) DESC, contributor_id) AS rk FROM gold_contribution GROUP BY 1, 2) WHERE rk <= 3""")
+def top_contributors_per_committee(s: SparkSession, d: str) -> DataFrame:
+    from pyspark.sql import Window
+
+    t = _fact(s, d).groupBy("recipient_committee_id", "contributor_id").agg(F.sum("amount").cast("decimal(18,2)").alias("total"))
+    w = Window.partitionBy("recipient_committee_id").orderBy(F.col("total").desc(), F.col("contributor_id").asc_nulls_last())
+    return t.withColumn("rk", F.row_number().over(w)).where("rk <= 3")

@@ -36,3 +36,13 @@ def link_committees(committees: DataFrame, candidates: DataFrame) -> DataFrame:
     method = reduce(lambda a, p: F.coalesce(a, F.when(F.col(p[1]).isNotNull(), p[0])), passes, F.lit(None).cast("string"))
     linked = F.coalesce(*[F.col(p[1]) for p in passes])
     return out.select("id", linked.alias("candidate_id"), method.alias("link_method"), (F.coalesce("several", F.lit(0)) > 1).alias("ambiguous"))
+
+
+def repoint_organizations(fact: DataFrame, contributors: DataFrame) -> DataFrame:
+    """The fact with contributors of one organization name replaced by the smallest id of that name."""
+    from ledgerloom.functions.text import org_name
+
+    orgs = contributors.where(F.col("entity_type").isin("ORG", "COM", "PAC")).select("id", org_name(F.col("name")).alias("org"))
+    first = orgs.groupBy("org").agg(F.min("id").alias("canonical"))
+    moved = orgs.join(first, "org").where("id <> canonical").select(F.col("id").alias("contributor_id"), "canonical")
+    return fact.join(moved, "contributor_id", "left").withColumn("contributor_id", F.coalesce("canonical", "contributor_id")).drop("canonical")
