@@ -329,8 +329,12 @@ def district_code(s: SparkSession, d: str) -> DataFrame:
     return table(s, d, "bronze_md_candidate").select("id", codes.district(F.col("district")).alias("code"))
 
 
-@query(rf"""SELECT id, CASE WHEN NOT regexp_matches(trim(jurisdiction), '(?i)\scity$') THEN {_TITLE.format("regexp_replace(trim(jurisdiction), '(?i)\s+county$', '')")} END AS county,
-  CASE WHEN regexp_matches(trim(jurisdiction), '(?i)\scity$') THEN {_TITLE.format("regexp_replace(trim(jurisdiction), '(?i)\s+city$', '')")} END AS city FROM bronze_md_candidate""")
+_COUNTY = _TITLE.format(r"regexp_replace(trim(jurisdiction), '(?i)\s+county$', '')")
+_CITY = _TITLE.format(r"regexp_replace(trim(jurisdiction), '(?i)\s+city$', '')")
+
+
+@query(rf"""SELECT id, CASE WHEN NOT regexp_matches(trim(jurisdiction), '(?i)\scity$') THEN {_COUNTY} END AS county,
+  CASE WHEN regexp_matches(trim(jurisdiction), '(?i)\scity$') THEN {_CITY} END AS city FROM bronze_md_candidate""")
 def county_city(s: SparkSession, d: str) -> DataFrame:
     return table(s, d, "bronze_md_candidate").select("id", codes.county_city(F.col("jurisdiction")).alias("j")).select("id", "j.county", "j.city")
 
@@ -524,4 +528,4 @@ def top_contributors_per_committee(s: SparkSession, d: str) -> DataFrame:
 
     t = _fact(s, d).groupBy("recipient_committee_id", "contributor_id").agg(F.sum("amount").cast("decimal(18,2)").alias("total"))
     w = Window.partitionBy("recipient_committee_id").orderBy(F.col("total").desc(), F.col("contributor_id").asc_nulls_last())
-    return t.withColumn("rk", F.row_number().over(w)).where("rk <= 3")
+    return t.withColumn("rk", F.row_number().over(w).cast("long")).where("rk <= 3")
