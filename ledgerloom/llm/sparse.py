@@ -113,14 +113,13 @@ def best_partners(pairs: DataFrame, n: int) -> DataFrame:
     return pairs.withColumn("rank", F.rank().over(w)).where(F.col("rank") <= n).drop("rank")
 
 
-def average_linkage(edges: DataFrame, threshold: float, rounds: int = 40) -> DataFrame:
+def average_linkage(edges: DataFrame, threshold: float) -> DataFrame:
     """(id, cluster) of nodes with edges (a, b, sim), by average linkage down to ``threshold``.
 
     Pairs without an edge have similarity 0. Each round merges all pairs of clusters that are each other's nearest,
     which for average linkage gives the same tree as merging one pair at a time; sums of similarities of merged
-    clusters are added up, so no cluster is ever gathered in one task. Ties go to the smallest id. The cluster's id is
-    its smallest member's. ``rounds`` only stops a run that no longer merges anything: each round merges at least one
-    pair while any is left, so the loop ends by itself.
+    clusters are added up, so no cluster is ever gathered in one task. Ties go to the smallest id. A cluster's id is
+    its smallest member's. Each round merges at least one pair while any is left, so the loop ends by itself.
     """
     links = cut(
         edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "sim")
@@ -131,9 +130,7 @@ def average_linkage(edges: DataFrame, threshold: float, rounds: int = 40) -> Dat
     nodes = links.select(F.explode(F.array("a", "b")).alias("id")).distinct().withColumn("cluster", F.col("id"))
     nodes = cut(nodes)
     sizes = nodes.select(F.col("id").alias("c")).withColumn("n", F.lit(1).cast("long"))
-    done = 0
-    while done < rounds or rounds <= 0:
-        done += 1
+    while True:
         na = sizes.select(F.col("c").alias("a"), F.col("n").alias("na"))
         nb = sizes.select(F.col("c").alias("b"), F.col("n").alias("nb"))
         scored = links.join(na, "a").join(nb, "b").withColumn("avg", F.col("total") / (F.col("na") * F.col("nb")))
