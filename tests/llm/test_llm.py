@@ -110,6 +110,16 @@ def test_people_generations_namesakes_and_firms(spark):
     assert got == {(FIELD, 1, 2), (FIELD, 1, 7), (FIELD, 2, 7), ("gold_contributor.employer", 1, 2)}
 
 
+def test_slips_in_names_as_rare_as_what_they_misspell(spark):
+    rows = [
+        (1, "Quillfeather, Martha", "21000", "Acme Bolt Engineering LLC", "Attorney"), (2, "Martha Quillfether", "21000", "Acme Bolt Engineering LLC", "Attorney"),
+        (3, "Martha Quillfaether", "21000", "Acme Bolt Engineering LLC", "Attorney"), (4, "Bartha Quillfeather", "21000", "Acme Bolt Engineering LLC", "Attorney"),
+        (5, "Martha Quillmeadow", "21000", "Acme Bolt Engineering LLC", "Attorney"), (6, "Oswin Quillfethre", "21000", "Acme Bolt Engineering LLC", "Attorney"),
+    ]
+    got = {(r.id_a, r.id_b) for r in _members(spark, rows).collect()}
+    assert got == set(itertools.combinations([1, 2, 3, 4], 2))
+
+
 def test_no_records(spark):
     assert _members(spark, []).count() == 0
 
