@@ -40,9 +40,8 @@ def _zip(c: F.Column) -> F.Column:
 def _name_records(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     """Records of the two name fields, and (field, id, text) of employers with the smallest id of each text."""
     gold = table(spark, d, "gold_contributor")
-    confirmed = table(spark, d, "contributor_group").select(F.col("contributor_id").alias("id")).distinct()
     kind = F.upper(F.col("entity_type"))
-    own = gold.join(confirmed, "id", "left_anti").select(
+    own = gold.select(
         F.lit("gold_contributor.name").alias("field"), "id", "name", _zip(F.col("zip")).alias("zip"), _town(F.col("city")).alias("town"),
         "employer", "occupation", F.when(kind.isin("ORG", "COM", "PAC"), True).when(kind.isin("IND", "CAN"), False).alias("is_org"),
     )
@@ -71,7 +70,10 @@ def p1_entities(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p1_found(spark: SparkSession, d: str) -> DataFrame:
-    return variants.variant_pairs(variants.entity_members(*_name_records(spark, d)))
+    """Pairs of variant spellings; confirmed rows take part in the clustering, but are no pairs."""
+    members = variants.entity_members(*_name_records(spark, d))
+    confirmed = table(spark, d, "contributor_group").select(F.lit("gold_contributor.name").alias("field"), F.col("contributor_id").alias("id")).distinct()
+    return variants.variant_pairs(members.join(confirmed, ["field", "id"], "left_anti"))
 
 
 def p8_ids(spark: SparkSession, d: str) -> DataFrame:

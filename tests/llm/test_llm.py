@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import addresses, leaks, matching, name_parts, reading, sparse, survivors, tokens, variants
+from ledgerloom.llm import addresses, leaks, matching, name_parts, queries, reading, sparse, survivors, tokens, variants
 from ledgerloom.llm.address_parts import parse
 
 
@@ -120,6 +120,24 @@ def test_slips_in_names_as_rare_as_what_they_misspell(spark):
     assert got == set(itertools.combinations([1, 2, 3, 4], 2))
 
 
+def test_confirmed_rows_have_entities_but_are_no_pairs(spark, tmp_path):
+    gold = [(1, "Smithson, Kathleen G"), (2, "Kathleen G. Smithson"), (3, "KATHLEEN SMITHSON")]
+    tables = {
+        "gold_contributor": (
+            [(i, n, "Norlton", "21000", "Acme Bolt Engineering LLC", "Attorney", "IND") for i, n in gold],
+            "id long, name string, city string, zip string, employer string, occupation string, entity_type string",
+        ),
+        "contributor_group": ([(7, 1), (7, 1), (8, 99)], "group_id long, contributor_id long"),
+        "bronze_md_contribution": ([], "id long, contributor_name string, contributor_address string, contributor_type string, employer_name string, employer_occupation string"),
+        "bronze_md_candidate": ([], "id long, campaign_address string, campaign_city_state_zip string"),
+    }
+    for name, (rows, schema) in tables.items():
+        spark.createDataFrame(rows, schema).write.parquet(f"{tmp_path}/{name}.parquet")
+    entities = [r for r in queries.p1_entities(spark, str(tmp_path)).collect() if r.field == FIELD]
+    assert sorted((r.id, r.n_records) for r in entities) == [(1, 3), (2, 3), (3, 3)] and len({r.cluster for r in entities}) == 1
+    assert [(r.field, r.id_a, r.id_b) for r in queries.p1_found(spark, str(tmp_path)).collect()] == [(FIELD, 2, 3)]
+
+
 def test_no_records(spark):
     assert _members(spark, []).count() == 0
 
