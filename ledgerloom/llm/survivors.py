@@ -85,7 +85,9 @@ def survivors(members: DataFrame, known: DataFrame) -> DataFrame:
     )
     fixed = better.groupBy("a.group_id", "a.field", "a.claim").agg(F.max(F.struct("b.cn", "b.claim")).getField("claim").alias("right"))
     c = c.join(fixed, ["group_id", "field", "claim"], "left").withColumn("claim", F.coalesce("right", "claim")).drop("right")
-    c = cut(c.withColumn("weight", F.pow(F.lit(RECENCY), F.least(F.col("age"), F.lit(200.0)))))
+    # counted from the youngest row that names the field: any size of group weighs alike, and no field's weights are all 0
+    top = c.groupBy("group_id", "field").agg(F.max("age").alias("top"))
+    c = cut(c.join(top, ["group_id", "field"]).withColumn("weight", F.pow(F.lit(RECENCY), F.col("age") - F.col("top"))).drop("top"))
     trust = ages.select("group_id", "id", F.lit(1.0).alias("trust"))
     for _ in range(ROUNDS):
         votes = c.join(trust, ["group_id", "id"]).groupBy("group_id", "field", "claim").agg(F.sum(F.col("weight") * F.col("trust")).alias("support"))

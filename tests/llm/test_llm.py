@@ -178,6 +178,17 @@ def test_survivors_take_the_present_complete_value(spark):
     assert survivors.survivors(m.limit(0), known).count() == 0
 
 
+def test_recency_decides_in_large_groups_too(spark):
+    m = spark.range(1500).select(
+        F.lit(1).cast("long").alias("group_id"), F.col("id"), F.lit("Ann Roe").alias("name"),
+        F.when(F.col("id") < 1490, "Old Town").otherwise("New Borough").alias("city"), F.lit(None).cast("string").alias("employer"),
+        F.when(F.col("id") == 0, "Professor").alias("occupation"), F.timestamp_seconds(F.col("id")).alias("created_at"),
+    )
+    known = spark.createDataFrame([], "field string, text string, n long")
+    got = {r.field: r.contributor_id for r in survivors.survivors(m, known).collect()}
+    assert got == {"name": 0, "city": 1490, "occupation": 0}
+
+
 # ---- tokens -----------------------------------------------------------------------------------------------------------
 
 
