@@ -59,38 +59,28 @@ def _piece(open_: Column, piece: Column) -> tuple[Column, Column]:
     return open_ | starts, F.when(at == 0, 0).when(at == F.length(left), 1).otherwise(2)
 
 
-def line_fields(line: Column, date_at: int, amount_at: int) -> Column:
-    """struct(n, bad, open, last_from, date_from, date_to, amount_from, amount_to) of a CSV line's pieces."""
+def line_fields(line: Column) -> Column:
+    """struct(i, n, bad, open, ends) of a CSV line's pieces; ends: the last piece of each of the first ``FIELDS`` fields."""
     start = F.struct(
         F.lit(0).alias("i"),
         F.lit(0).alias("n"),
         F.lit(False).alias("bad"),
         F.lit(False).alias("open"),
-        F.lit(0).alias("field_from"),
-        *[F.lit(0).alias(x) for x in ("date_from", "date_to", "amount_from", "amount_to")],
+        F.array().cast("array<int>").alias("ends"),
     )
 
     def step(acc: Column, piece: Column) -> Column:
         quoted, effect = _piece(acc["open"], piece)
         i = acc["i"] + 1
-        begun = F.when(acc["open"], acc["field_from"]).otherwise(i)
         still = quoted & (effect == 0)
         done = ~still
         number = acc["n"] + F.when(done, 1).otherwise(0)
-
-        def keep(at: int, name: str, value: Column) -> Column:
-            return F.when(done & (number == at), value).otherwise(acc[name]).alias(name)
-
         return F.struct(
             i.alias("i"),
             number.alias("n"),
             (acc["bad"] | (quoted & (effect == 2))).alias("bad"),
             still.alias("open"),
-            begun.alias("field_from"),
-            keep(date_at, "date_from", begun),
-            keep(date_at, "date_to", i),
-            keep(amount_at, "amount_from", begun),
-            keep(amount_at, "amount_to", i),
+            F.when(done & (number <= FIELDS), F.array_append(acc["ends"], i)).otherwise(acc["ends"]).alias("ends"),
         )
 
     return F.aggregate(F.split(line, ",", -1), start, step)
@@ -103,23 +93,29 @@ def _field(pieces: Column, first: Column, last: Column) -> Column:
 
 
 def parse_lines(lines: DataFrame, row_id: str, line: str, date_at: int = 3, amount_at: int = 8) -> DataFrame:
-    """(row_id, structure, date_text, amount_text, line): structure is ``quoting``, ``columns`` or null.
+    """(row_id, structure, date_text, amount_text, fields, line): structure is ``quoting``, ``columns`` or null.
 
-    ``date_at`` and ``amount_at`` are field numbers from one.
+    ``date_at`` and ``amount_at`` are field numbers from one; ``fields`` holds the ``FIELDS`` texts of a whole line.
     """
     pieces = F.split(F.col("line"), ",", -1)
     last = F.element_at(pieces, -1)
     base = lines.select(F.col(row_id).alias("row_id"), F.col(line).alias("line")).where("line IS NOT NULL")
-    folded = base.withColumn("f", line_fields(F.col("line"), date_at, amount_at))
+    folded = base.withColumn("f", line_fields(F.col("line")))
     spare = (F.col("f.n") == FIELDS + 1) & last.isin("", '""')
     structure = F.when(F.col("f.bad") | F.col("f.open"), "quoting").when(~((F.col("f.n") == FIELDS) | spare), "columns")
     out = folded.withColumn("structure", structure)
     good = F.col("structure").isNull()
+
+    def field(at: int) -> Column:
+        first = F.lit(1) if at == 1 else F.get("f.ends", F.lit(at - 2)) + 1
+        return F.when(good, _field(pieces, first, F.get("f.ends", F.lit(at - 1))))
+
     return out.select(
         "row_id",
         "structure",
-        F.when(good, _field(pieces, F.col("f.date_from"), F.col("f.date_to"))).alias("date_text"),
-        F.when(good, _field(pieces, F.col("f.amount_from"), F.col("f.amount_to"))).alias("amount_text"),
+        field(date_at).alias("date_text"),
+        field(amount_at).alias("amount_text"),
+        F.when(good, F.array(*[field(k) for k in range(1, FIELDS + 1)])).alias("fields"),
         "line",
     )
 

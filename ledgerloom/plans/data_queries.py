@@ -9,6 +9,7 @@ from ledgerloom.operators import quarantine as Q
 from ledgerloom.operators import references as R
 from ledgerloom.operators import skew as S
 from ledgerloom.session import table
+from ledgerloom.sources.state_csv import CONTRIBUTION
 
 SILVER_REFS = [R.Reference("silver_md_contribution", "committee_ccf_id", "bronze_md_committee", "ccf_id")]
 GOLD_REFS = [
@@ -72,7 +73,7 @@ def p7_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p7_loaded(spark: SparkSession, d: str) -> DataFrame:
-    """The valid lines with typed date and amount."""
+    """The valid lines with typed date and amount; ``p7_loaded_rows`` has all their fields."""
     lines = _p7_lines(spark, d)
     failed = Q.failures(
         Q.cells(lines, "md_contribution_raw", "date_text", "amount_text"),
@@ -88,6 +89,26 @@ def p7_loaded(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def p7_loaded_rows(spark: SparkSession, d: str) -> DataFrame:
+    """The valid rows of both tables, whole: all twelve fields, texts as they came, date and amount typed."""
+    columns = list(CONTRIBUTION.values())
+    lines = _p7_lines(spark, d)
+    read = lines.where("structure IS NULL").select(
+        F.lit("md_contribution_raw").alias("table_name"), "row_id", *[F.col("fields")[k].alias(c) for k, c in enumerate(columns)]
+    )
+    bronze = table(spark, d, "bronze_md_contribution").select(F.lit("bronze_md_contribution").alias("table_name"), F.col("id").alias("row_id"), *columns)
+    loaded = []
+    for name, rows in (("md_contribution_raw", read), ("bronze_md_contribution", bronze)):
+        cells = Q.cells(rows, name, "contribution_date", "contribution_amount")
+        failed = cells.join(Q.bad_values(cells), ["kind", "value"])
+        loaded.append(Q.valid_rows(rows, failed, "row_id"))
+    date = F.nullif(Q.strip(F.col("contribution_date")), F.lit(""))
+    amount = F.nullif(Q.strip(F.col("contribution_amount")), F.lit(""))
+    return loaded[0].unionByName(loaded[1]).select("table_name", "row_id", *columns).withColumns(
+        {"contribution_date": F.try_to_timestamp(date, F.lit("M/d/yyyy")).cast("date"), "contribution_amount": amount.try_cast("decimal(12,2)")}
+    )
+
+
 QUERIES = {
     "p5_found": p5_found,
     "p5_report": p5_report,
@@ -96,6 +117,7 @@ QUERIES = {
     "p6_contributor_profile": p6_contributor_profile,
     "p7_found": p7_found,
     "p7_loaded": p7_loaded,
+    "p7_loaded_rows": p7_loaded_rows,
 }
 
 _REF_ROWS = """

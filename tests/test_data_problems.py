@@ -1,5 +1,6 @@
 import csv
 import datetime as dt
+import decimal
 import io
 import random
 from collections import Counter, defaultdict
@@ -7,6 +8,8 @@ from collections import Counter, defaultdict
 from ledgerloom.operators import quarantine as Q
 from ledgerloom.operators import references as R
 from ledgerloom.operators import skew as S
+from ledgerloom.plans import data_queries
+from ledgerloom.sources.state_csv import CONTRIBUTION
 from pyspark.sql import functions as F
 
 T0, T1 = dt.datetime(2024, 1, 1), dt.datetime(2024, 2, 1)
@@ -117,6 +120,30 @@ def test_quoted_fields_read_like_the_csv_module(spark):
     assert all(got[i].structure is None and got[i].date_text == r[2] and got[i].amount_text == r[7] for i, r in enumerate(rows))
 
 
+def test_valid_rows_are_loaded_whole_from_both_tables(spark, tmp_path):
+    names = list(CONTRIBUTION.values())
+    good = ["Roe, Ann", 'q"u', " 2/29/2024 ", "", "e", "f", "g", "-5.25", "i", "j", "k", "l"]
+    rows = [good, [*good[:7], "$5", *good[8:]], [*good[:2], "TBD", *good[3:]], good[:11], [*good[:2], "", *good[3:7], "", *good[8:]]]
+    lines = []
+    for r in [names, *rows]:
+        buffer = io.StringIO()
+        csv.writer(buffer, lineterminator="").writerow(r)
+        lines.append(buffer.getvalue())
+    lines[-1] += ","
+    schema = "raw_id long, file_name string, line_no long, line string"
+    spark.createDataFrame([(i, "f", i + 1, x) for i, x in enumerate([*lines, '"broken', None])], schema).write.parquet(f"{tmp_path}/md_contribution_raw.parquet")
+    bronze = [[None if x == "" else x for x in r] for r in rows if len(r) == 12]
+    spark.createDataFrame([(100 + i, *r) for i, r in enumerate(bronze)], "id long, " + ", ".join(f"{c} string" for c in names)).write.parquet(f"{tmp_path}/bronze_md_contribution.parquet")
+    got = {r.row_id: tuple(r) for r in data_queries.p7_loaded_rows(spark, str(tmp_path)).collect()}
+
+    def typed(r):
+        full = r[2] not in ("", None)
+        return (*r[:2], dt.date(2024, 2, 29) if full else None, *r[3:7], decimal.Decimal("-5.25") if full else None, *r[8:])
+
+    raw = {1: rows[0], 5: rows[4]}
+    assert got == {i: ("md_contribution_raw", i, *typed(r)) for i, r in raw.items()} | {i: ("bronze_md_contribution", i, *typed(bronze[i - 100])) for i in (100, 103)}
+
+
 def test_amounts_and_dates(spark):
     amounts = {"5": True, "-5.25": True, "1234567890.12": True, "12345678901": False, "5.": False, ".5": False, "5.123": False, "$5": False, "1e3": False, "٥": False}
     dates = {"2/29/2024": True, "02/29/2023": False, "13/01/2024": False, "1/1/24": False, "00/10/2024": False, "12/31/2024": True, "4/31/2024": False, "TBD": False}
