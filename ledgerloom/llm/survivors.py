@@ -3,8 +3,10 @@
 Every row of a group is a source that claims one value per field. Values that say the same (an employer with and
 without its legal form, an occupation written short, a town misspelt) are one claim. Claims are weighted by how recent
 their row is within its group, since people move and change jobs, and by the reliability of the row, which is
-estimated in turn from how much support its claims have; the two are recomputed until they settle. The claim with the
-highest support wins, and of the rows that make it the one with the most complete text without slips survives.
+estimated in turn from how much support its claims have; the two are recomputed until no trust changes by more than
+``TOLERANCE``. The claim with the highest support wins, and of the rows that make it the one with the most complete text
+without slips survives. A name makes two claims: family with given name, and middle names if it has any; initials, short
+forms and slips are folded into a full spelling of the group.
 
 Every step is a join or an aggregate on group and field, so a group of any size is never gathered in one task.
 
@@ -17,23 +19,55 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.llm import name_parts as N
 from ledgerloom.session import cut
 
-ROUNDS = 4
+TOLERANCE = 1e-4
+#: Only against rounds without end.
+MOST_ROUNDS = 100
 #: How much more the next younger row weighs.
 RECENCY = 2.0
 FIELDS = ["name", "city", "employer", "occupation"]
 
 
+def _name_claims(p: dict) -> tuple[str, str]:
+    """``family|given names it may stand for`` and the middle names, each run together by blanks; empty if there are none."""
+    tokens, k = p["tokens"], p["family"]
+    if not tokens:
+        return "", ""
+    family, rest = ("".join(tokens[:k]), tokens[k:]) if k else (tokens[-1], tokens[:-1])
+    return family + "|" + " ".join(N.formal_names(rest[0]) if rest else []), " ".join(rest[1:])
+
+
+def _same_word(a: Column, b: Column) -> Column:
+    """Equal, an initial of the other, or a slip of it."""
+    least = F.least(F.length(a), F.length(b))
+    return (a == b) | ((least == 1) & (F.substring(a, 1, 1) == F.substring(b, 1, 1))) | ((least > 2) & (F.levenshtein(a, b) <= F.when(least >= 5, 2).otherwise(1)))
+
+
+def _same_name(a: Column, b: Column) -> Column:
+    fa, fb, ga, gb = F.split_part(a, F.lit("|"), F.lit(1)), F.split_part(b, F.lit("|"), F.lit(1)), F.split_part(a, F.lit("|"), F.lit(2)), F.split_part(b, F.lit("|"), F.lit(2))
+
+    def given(x: Column, y: Column) -> Column:
+        return (x == "") | (y == "") | F.exists(F.split(x, " "), lambda v: F.exists(F.split(y, " "), lambda w: _same_word(v, w)))
+
+    family = _same_word(fa, fb) | F.arrays_overlap(F.split(fa, "-"), F.split(fb, "-"))
+    return (family & given(ga, gb)) | ((ga != "") & (gb != "") & given(fa, gb) & given(ga, fb))  # the latter: typed the other way round
+
+
+def _same_middle(a: Column, b: Column) -> Column:
+    x, y = F.split(a, " "), F.split(b, " ")
+    return (F.size(x) == F.size(y)) & F.forall(F.zip_with(x, y, _same_word), lambda same: F.coalesce(same, F.lit(False)))
+
+
 def _forms(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for b in batches:
         out = []
         for field, text in zip(b["field"], b["text"], strict=True):
-            tidy = " ".join(text.split())
+            tidy, middle = " ".join(text.split()), ""
             if field == "employer":
                 o = N.organization(text) if N.names_employer(text) else {"core": ""}
                 claim = o["core"]
@@ -48,22 +82,24 @@ def _forms(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 full = tidy.count(" ") * 10
             else:
                 p = N.person(text)
-                claim = "name" if p["tokens"] else ""
+                claim, middle = _name_claims(p)
                 words = [t for t in p["tokens"] if len(t) > 1]
                 full = len(words) * 100 + len(p["tokens"]) * 30 + (20 if p["suffix"] else 0) - (5 if p["order"] == "comma" else 0) - (300 if p["nick"] else 0)
                 full -= 60 * sum(t in N._FORMAL for t in words[:1])
             letters = [c for c in text if c.isalpha()]
             cased = bool(letters) and not text.isupper() and not text.islower()
-            out.append((field, text, claim, float(full) + (3.0 if cased else 0.0) - (2.0 if tidy != text else 0.0)))
-        yield pd.DataFrame(out, columns=["field", "text", "claim", "full"])
+            out.append((field, text, claim, middle, float(full) + (3.0 if cased else 0.0) - (2.0 if tidy != text else 0.0)))
+        yield pd.DataFrame(out, columns=["field", "text", "claim", "middle", "full"])
 
 
 def claims(members: DataFrame) -> DataFrame:
-    """(group_id, id, field, text, claim, full, age) of members (group_id, id, FIELDS, created_at)."""
+    """(group_id, id, field, text, claim, full, created_at), with ``middle`` as a field of its own, of members (group_id, id, FIELDS, created_at)."""
     entries = F.array(*[F.struct(F.lit(f).alias("field"), F.col(f).alias("text")) for f in FIELDS])
     long = members.select("group_id", "id", "created_at", F.inline(entries)).where("trim(text) <> ''")
-    forms = cut(long.select("field", "text").distinct().mapInPandas(_forms, "field string, text string, claim string, full double"))
-    return long.join(forms.where("claim <> ''"), ["field", "text"])
+    forms = cut(long.select("field", "text").distinct().mapInPandas(_forms, "field string, text string, claim string, middle string, full double"))
+    made = long.join(forms.where("claim <> ''"), ["field", "text"])
+    middles = made.where("middle <> ''").withColumns({"field": F.lit("middle"), "claim": F.col("middle")})
+    return made.unionByName(middles).drop("middle")
 
 
 def survivors(members: DataFrame, known: DataFrame) -> DataFrame:
@@ -77,26 +113,42 @@ def survivors(members: DataFrame, known: DataFrame) -> DataFrame:
     ages = ranked.select("group_id", "id", "age")
     c = claims(once).join(ages, ["group_id", "id"]).join(known, ["field", "text"], "left").withColumn("n", F.coalesce("n", F.lit(1)))
     # misspelt claims of a group give way to a more usual spelling within it
-    spelled = c.groupBy("group_id", "field", "claim").agg(F.max("n").alias("cn"))
+    named = F.col("field").isin("name", "middle")
+    whole = ~F.col("claim").rlike(r"(^|[ |]).?( |$)")
+    cn = F.when(named, F.when(whole, F.lit(1 << 40)).otherwise(0) + F.countDistinct("id")).otherwise(F.max("n"))
+    spelled = c.groupBy("group_id", "field", "claim").agg(cn.alias("cn"))
     a, b = spelled.alias("a"), spelled.alias("b")
     near = F.levenshtein("a.claim", "b.claim") <= F.when(F.length("a.claim") >= 12, 3).otherwise(2)
-    better = a.join(
-        b, (F.col("a.group_id") == F.col("b.group_id")) & (F.col("a.field") == F.col("b.field")) & near & (F.col("b.cn") > F.col("a.cn")) & F.col("a.field").isin("city", "employer")
+    same = (
+        F.when(F.col("a.field") == "name", _same_name(F.col("a.claim"), F.col("b.claim")))
+        .when(F.col("a.field") == "middle", _same_middle(F.col("a.claim"), F.col("b.claim")))
+        .when(F.col("a.field").isin("city", "employer"), near)
+        .otherwise(False)
     )
+    more = (F.col("b.cn") > F.col("a.cn")) | (F.col("a.field").isin("name", "middle") & (F.col("b.cn") == F.col("a.cn")) & (F.col("b.claim") > F.col("a.claim")))
+    better = a.join(b, (F.col("a.group_id") == F.col("b.group_id")) & (F.col("a.field") == F.col("b.field")) & more & same)
     fixed = better.groupBy("a.group_id", "a.field", "a.claim").agg(F.max(F.struct("b.cn", "b.claim")).getField("claim").alias("right"))
     c = c.join(fixed, ["group_id", "field", "claim"], "left").withColumn("claim", F.coalesce("right", "claim")).drop("right")
     # counted from the youngest row that names the field: any size of group weighs alike, and no field's weights are all 0
     top = c.groupBy("group_id", "field").agg(F.max("age").alias("top"))
     c = cut(c.join(top, ["group_id", "field"]).withColumn("weight", F.pow(F.lit(RECENCY), F.col("age") - F.col("top"))).drop("top"))
     trust = ages.select("group_id", "id", F.lit(1.0).alias("trust"))
-    for _ in range(ROUNDS):
+    for _ in range(MOST_ROUNDS):
         votes = c.join(trust, ["group_id", "id"]).groupBy("group_id", "field", "claim").agg(F.sum(F.col("weight") * F.col("trust")).alias("support"))
         total = Window.partitionBy("group_id", "field")
         votes = votes.withColumn("share", F.col("support") / F.sum("support").over(total))
-        trust = cut(c.join(votes, ["group_id", "field", "claim"]).groupBy("group_id", "id").agg((0.5 + 0.5 * F.avg("share")).alias("trust")))
+        new = c.join(votes, ["group_id", "field", "claim"]).groupBy("group_id", "id").agg((0.5 + 0.5 * F.avg("share")).alias("trust"))
+        moved = cut(new.join(trust.withColumnRenamed("trust", "old"), ["group_id", "id"]))
+        trust = moved.drop("old")
+        change = moved.agg(F.max(F.abs(F.col("trust") - F.col("old")))).first()[0]
+        if change is None or change < TOLERANCE:
+            break
     votes = c.join(trust, ["group_id", "id"]).groupBy("group_id", "field", "claim").agg(F.sum(F.col("weight") * F.col("trust")).alias("support"))
     best = votes.groupBy("group_id", "field").agg(F.max(F.struct("support", "claim")).getField("claim").alias("claim"))
     won = c.join(best, ["group_id", "field", "claim"])
+    middle = best.where("field = 'middle'").select("group_id", F.col("claim").alias("middle"))
+    strays = c.where("field = 'middle'").join(middle, "group_id").where("claim <> middle").select("group_id", F.lit("name").alias("field"), "id", F.lit(1).alias("stray")).distinct()
+    won = won.where("field <> 'middle'").join(strays, ["group_id", "field", "id"], "left").withColumn("stray", F.coalesce("stray", F.lit(0)))
     # names: words no other row of the group confirms are slips
     words = won.where("field = 'name'").select("group_id", "id", "text", F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(r"(\p{L}{2,})"), F.lit(1)))).alias("word"))
     seen = words.groupBy("group_id", "word").agg(F.countDistinct("id").alias("k"))
@@ -107,5 +159,5 @@ def survivors(members: DataFrame, known: DataFrame) -> DataFrame:
     slips = alone.select("l.group_id", "l.id").distinct().withColumn("slip", F.lit(1))
     ready = won.join(slips, ["group_id", "id"], "left").withColumn("slip", F.when(F.col("field") == "name", F.coalesce("slip", F.lit(0))).otherwise(0))
     usual = F.when(F.col("field") == "name", F.lit(0.0)).otherwise(F.least(F.log(1.0 + F.col("n")), F.lit(12.0)) * 4)
-    pick = Window.partitionBy("group_id", "field").orderBy("slip", (F.col("full") + usual).desc(), F.col("n").desc(), "text", "id")
+    pick = Window.partitionBy("group_id", "field").orderBy("stray", "slip", (F.col("full") + usual).desc(), F.col("n").desc(), "text", "id")
     return ready.withColumn("k", F.row_number().over(pick)).where("k = 1").select("group_id", "field", F.col("id").alias("contributor_id"))

@@ -189,6 +189,15 @@ def test_recency_decides_in_large_groups_too(spark):
     assert got == {"name": 0, "city": 1490, "occupation": 0}
 
 
+def test_names_are_voted_on(spark):
+    names = [["Ann Marie Roe", "Roe, Ann M.", "Ann Bogus Roe", "Ann Marie Roe", "A. Roe"], ["Ann Sowell Dunmore", "Ann Larkin", "Larkin, Ann", "Ann Grace Larkin"], ["Robert Lee Bostwick", "Bob Bostwick", "R. Bostwick"], ["Ann Bogus Extra Roe", "Ann Marie Roe", "Roe, Ann", "Ann Marie Roe"]]
+    rows = [(g, 10 * g + k, n, None, None, None, k) for g, ns in enumerate(names) for k, n in enumerate(ns)]
+    m = spark.createDataFrame(rows, "group_id long, id long, name string, city string, employer string, occupation string, created_at long")
+    known = spark.createDataFrame([], "field string, text string, n long")
+    got = {r.group_id: names[r.group_id][r.contributor_id % 10] for r in survivors.survivors(m, known).collect()}
+    assert got == {0: "Ann Marie Roe", 1: "Ann Grace Larkin", 2: "Robert Lee Bostwick", 3: "Ann Marie Roe"}
+
+
 # ---- tokens -----------------------------------------------------------------------------------------------------------
 
 
