@@ -120,6 +120,14 @@ def test_slips_in_names_as_rare_as_what_they_misspell(spark):
     assert got == set(itertools.combinations([1, 2, 3, 4], 2))
 
 
+def test_people_who_moved_are_found_by_middle_initial_generation_and_job(spark):
+    rows = [
+        (1, "Smithson, Kathleen G Jr", "21000", "Acme Bolt Engineering LLC", "Attorney"), (2, "Kathleen G. Smithson Jr.", "29999", None, "Lawyer"),
+        (3, "Kathleen R. Smithson Jr.", "27777", None, "Attorney"),
+    ]
+    assert {(r.id_a, r.id_b) for r in _members(spark, rows).collect()} == {(1, 2)}
+
+
 def test_confirmed_rows_have_entities_but_are_no_pairs(spark, tmp_path):
     gold = [(1, "Smithson, Kathleen G"), (2, "Kathleen G. Smithson"), (3, "KATHLEEN SMITHSON")]
     tables = {
