@@ -2,8 +2,9 @@
 
 Sorted neighbourhood: names of both sides are sorted under several composite keys, and each mention meets the
 ``WINDOW`` register rows before and after its place in each order. Weighted field similarities of name, style, office,
-election and dates give a confidence; of a row's candidates the assignment takes the one that adds most to the total,
-and rows of a name that the register holds twice go to the one whose time fits.
+election and dates give a confidence; each row takes its best candidate by itself, and for names that the register
+holds twice the dates are part of that score. As any number of rows may name one entity, no joint assignment is made:
+its total would be largest for these same choices.
 
 Defined results: null and blank names match nothing; a row gets at most one entity; equal confidences go to the
 smaller key; repeated rows each get their match; an empty register or table gives no rows.
