@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from ledgerloom.llm.address_parts import PARTS, parse
 from ledgerloom.llm.places import place_keys
 from ledgerloom.llm.sparse import similar_pairs
-from ledgerloom.session import cut
+from ledgerloom.session import cut, spread
 
 #: A misspelling makes n-grams that are rare and so weigh much; edit distance decides between what this lets through.
 STREET_COSINE = 0.2
@@ -37,7 +37,7 @@ def _split(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def address_parts(texts: DataFrame) -> DataFrame:
     """One row for each distinct text that holds a location."""
     schema = ", ".join(f"{c} string" for c in ["text", *PARTS])
-    return texts.select("text").where("text IS NOT NULL").distinct().mapInPandas(_split, schema)
+    return spread(texts.select("text").where("text IS NOT NULL").distinct()).mapInPandas(_split, schema)
 
 
 def locations(texts: DataFrame) -> DataFrame:
@@ -79,20 +79,32 @@ def locations(texts: DataFrame) -> DataFrame:
     )
     step = cut(step)
     tree = forms.select("id").join(step, F.col("id") == F.col("a"), "left").select("id", F.coalesce("up", "id").alias("root"))
-    for _ in range(3):  # a form hangs at most a few misspellings and gaps below its location
+    # every round doubles the steps taken towards the root; a step never leads back, so the rounds end
+    while True:
         up = tree.select(F.col("id").alias("root"), F.col("root").alias("next"))
-        tree = tree.join(up, "root").select("id", F.col("next").alias("root"))
-    named = parts.withColumn("id", F.concat_ws("|", *fields)).join(cut(tree), "id")
+        tree = cut(tree.join(up, "root").select("id", F.col("next").alias("root"), (F.col("next") != F.col("root")).alias("moved")))
+        if tree.where("moved").isEmpty():
+            break
+        tree = tree.drop("moved")
+    named = parts.withColumn("id", F.concat_ws("|", *fields)).join(tree.drop("moved"), "id")
     return named.select("text", F.col("root").alias("location"))
 
 
 def same_location_pairs(records: DataFrame) -> DataFrame:
     """(id_a, id_b) of records (id, text) at one location whose texts differ, id_a < id_b."""
     placed = cut(records.join(locations(records), "text").select("id", "text", "location").distinct())
-    r = placed.select(F.col("id").alias("id_b"), F.col("text").alias("t_b"), "location")
-    return (
-        placed.select(F.col("id").alias("id_a"), F.col("text").alias("t_a"), "location")
-        .join(r, "location")
-        .where("id_a < id_b AND t_a <> t_b")
-        .select("id_a", "id_b")
-    )
+    return pairs_of_texts(placed, "location").select("id_a", "id_b")
+
+
+def pairs_of_texts(members: DataFrame, group: str) -> DataFrame:
+    """(``group``, id_a, id_b), id_a < id_b, of ``members`` (id, text, ``group``) in one group whose texts differ.
+
+    Distinct texts are paired first, so copies of one text never meet each other.
+    """
+    texts = members.select(group, "text").distinct()
+    a, b = texts.withColumnRenamed("text", "t_a"), texts.withColumnRenamed("text", "t_b")
+    pairs = a.join(b, group).where("t_a < t_b")
+    left = members.select(group, F.col("text").alias("t_a"), F.col("id").alias("i"))
+    right = members.select(group, F.col("text").alias("t_b"), F.col("id").alias("j"))
+    out = pairs.join(left, [group, "t_a"]).join(right, [group, "t_b"]).where("i <> j")
+    return out.select(group, F.least("i", "j").alias("id_a"), F.greatest("i", "j").alias("id_b"))

@@ -13,7 +13,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerloom.session import cut
+from ledgerloom.session import cut, discard, shuffle_tasks
+
+#: A posting list longer than this is met in slices of this length.
+SLICE = 5000
 
 
 def gram_array(text: Column, sizes: Sequence[int]) -> Column:
@@ -89,16 +92,22 @@ def similar_pairs(
     posting = vec.withColumn("gram", F.explode(F.slice("vec", F.lit(1), prefix_length(F.col("vec"), threshold)))).withColumn(
         "gram", F.col("gram.gram")
     )
-    # few bytes, much work: as many tasks as the session's shuffles have, whatever the size
-    tasks = int(items.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    light = posting.drop("vec").withColumnRenamed(text, "text").repartition(tasks, "gram", *block)
+    # few bytes, much work: as many tasks as the session's shuffles have, whatever the size. Spark does not split a
+    # shuffle that was asked for, so long posting lists are split here: one side in slices, the other once for each
+    tasks = shuffle_tasks(items.sparkSession)
+    light = cut(posting.drop("vec").withColumnRenamed(text, "text"))
+    keys = ["gram", *block]
+    long = light.groupBy(*keys).agg(F.ceil(F.count(F.lit(1)) / SLICE).cast("int").alias("slices")).where("slices > 1")
+    known = light.join(long, keys, "left").withColumn("slices", F.coalesce("slices", F.lit(1)))
+    every = known.withColumn("slice", F.explode(F.sequence(F.lit(0), F.col("slices") - 1))).repartition(tasks, *keys, "slice")
+    own = known.withColumn("slice", F.pmod(F.xxhash64("id"), F.col("slices")).cast("int")).repartition(tasks, *keys, "slice")
     wanted = ordered if ordered is not None else F.col("l.id") < F.col("r.id")
-    on = (F.col("l.gram") == F.col("r.gram")) & wanted
+    on = (F.col("l.gram") == F.col("r.gram")) & (F.col("l.slice") == F.col("r.slice")) & wanted
     if also is not None:
         on = on & also
     for b in block:
         on = on & (F.col(f"l.{b}") == F.col(f"r.{b}"))
-    pairs = light.alias("l").join(light.alias("r"), on).select(F.col("l.id").alias("a"), F.col("r.id").alias("b")).distinct()
+    pairs = every.alias("l").join(own.alias("r"), on).select(F.col("l.id").alias("a"), F.col("r.id").alias("b")).distinct()
     pairs = pairs.repartition(tasks, "a")
     v = vec.select("id", "vec")
     both = pairs.join(v.select(F.col("id").alias("a"), F.col("vec").alias("va")), "a").join(

@@ -37,6 +37,14 @@ def test_similarity_join_loses_nothing(spark, threshold):
     assert all(abs(got[k] - c) < 1e-6 for k, c in want.items())
 
 
+def test_long_posting_lists_are_met_in_slices(spark, monkeypatch):
+    words = [f"abcdef{i:03d}" for i in range(60)]
+    items = spark.createDataFrame([(w, w) for w in words], "id string, text string")
+    whole = {(r.a, r.b): round(r.cos, 9) for r in sparse.similar_pairs(items, "text", 0.2, (2,)).collect()}
+    monkeypatch.setattr(sparse, "SLICE", 7)
+    assert {(r.a, r.b): round(r.cos, 9) for r in sparse.similar_pairs(items, "text", 0.2, (2,)).collect()} == whole and whole
+
+
 def _brute_linkage(nodes, edges, threshold):
     clusters = {n: {n} for n in nodes}
     sim = lambda a, b: sum(edges.get((min(x, y), max(x, y)), 0) for x in clusters[a] for y in clusters[b]) / (len(clusters[a]) * len(clusters[b]))
@@ -72,6 +80,20 @@ def test_address_forms(text):
     assert (p["house"], p["street"], p["type"], p["unit"], p["town"], p["zip"]) == ("5102", "brookside", "pl", "7d", "norltonwoods", "36504")
 
 
+@pytest.mark.parametrize(
+    ("text", "street", "kind", "town"),
+    [
+        ("12 Martin Luther King Blvd Salem", "martinlutherking", "blvd", "salem"), ("12 Old Mill Creek Road", "oldmillcreek", "rd", ""),
+        ("1 Park Place Drive, Salem MD 21000", "parkplace", "dr", "salem"), ("12 Mill Upper Terrace MD", "mill", "", "upperterrace"),
+        ("12 Mill St Upper Terrace, MD", "mill", "st", "upperterrace"), ("12 Martin Luther King, Salem MD", "martinlutherking", "", "salem"),
+        ("12 Oak  St Abc Def MD", "oak", "st", "abcdef"), ("12 Oak Abc Def, D.C. 21000", "oak", "", "abcdef"),
+    ],
+)
+def test_streets_of_any_number_of_words(text, street, kind, town):
+    p = parse(text)
+    assert (p["street"], p["type"], p["town"]) == (street, kind, town)
+
+
 def test_no_addresses():
     assert all(parse(t) is None for t in ("", "Unknown", "N/A", "Norlton Woods MD 36504", "x" * 10_000))
     assert parse("P.O. Box 25726, Daldan Hill MD 15483")["house"] == "25726"
@@ -88,6 +110,18 @@ def test_same_location_pairs(spark):
     assert addresses.same_location_pairs(spark.createDataFrame([], "id long, text string")).count() == 0
 
 
+def test_chains_of_misspellings_of_any_depth(spark):
+    # each form is a slip of the next, more frequent one: ten steps to the root
+    name, forms = list("abcdefghijklmnopqrst"), []
+    for k in range(11):
+        forms.append("".join(name))
+        name[k] = "z"
+    rows = [(f"{n} {f} St  Abc Def MD 21000",) for f, n in ((f, 12) for f in forms)]
+    rows = [(r[0] + " " * i,) for k, r in enumerate(rows) for i in range(k + 1)]
+    got = {r.location for r in addresses.locations(spark.createDataFrame(rows, "text string")).collect()}
+    assert len(got) == 1
+
+
 # ---- names ------------------------------------------------------------------------------------------------------------
 
 FIELD = "gold_contributor.name"
