@@ -262,6 +262,15 @@ def test_encoding_equals_the_library_and_round_trips(spark):
     assert back == {i: x for i, x in enumerate(texts) if i != 3}
 
 
+def test_rows_that_share_an_id_decode_apart(spark, monkeypatch):
+    pytest.importorskip("public_tokenizers")
+    monkeypatch.setattr(tokens, "FREQUENT", 2)
+    rows = [(1, "alpha beta alpha alpha"), (1, "gamma delta"), (1, "gamma delta"), (1, None), (1, ""), (2, "alpha " + "x" * 40 + " alpha beta beta")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    back = [tuple(r) for r in tokens.decode(tokens.encode(docs, "doc_id", "text")).collect()]
+    assert sorted(back, key=str) == sorted(rows, key=str)
+
+
 # ---- leaks ------------------------------------------------------------------------------------------------------------
 
 
