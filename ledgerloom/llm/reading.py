@@ -17,6 +17,8 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ledgerloom.session import cut
+
 SHARES = (0.5, 0.75, 0.9)
 MAX_LABELS = 20_000
 RIDGE = 0.3
@@ -25,7 +27,7 @@ FEATURES = ["cover50", "cover75", "cover90", "sentence_mean", "sentence_median",
 
 def clean(text: Column) -> Column:
     t = F.regexp_replace(text, "[­​‌‍⁠﻿]", "")
-    t = F.regexp_replace(t, r"<[^<>]{0,200}>", " ")
+    t = F.regexp_replace(t, r"<[^<>]*>", " ")
     return F.regexp_replace(t, r"&#?[A-Za-z0-9]{2,8};", " ")
 
 
@@ -43,9 +45,14 @@ def word_ranks(words: DataFrame) -> DataFrame:
 
 
 def features(docs: DataFrame) -> DataFrame:
-    """(doc_id, FEATURES) of texts (doc_id, text) that hold a word."""
-    base = docs.select("doc_id", clean(F.col("text")).alias("t")).withColumn("w", _words(F.col("t"))).where("size(w) > 0")
-    per = base.select("doc_id", F.explode("w").alias("word")).groupBy("doc_id", "word").agg(F.count(F.lit(1)).alias("n"))
+    """(doc_id, FEATURES) of texts (doc_id, text) that hold a word.
+
+    Texts are read and split once, into a table of their words; ranks and shapes both start from that table.
+    """
+    split = docs.select("doc_id", F.transform(F.split(clean(F.col("text")), r"[.!?]+(?:\s|$)|\n+"), _words).alias("sentences"))
+    base = split.select("doc_id", F.flatten("sentences").alias("w"), F.filter(F.transform("sentences", F.size), lambda n: n > 0).alias("s"))
+    base = cut(base.where("size(w) > 0"))
+    per = cut(base.select("doc_id", F.explode("w").alias("word")).groupBy("doc_id", "word").agg(F.count(F.lit(1)).alias("n")))
     ranked = per.join(word_ranks(per), "word").groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("rank", "n"))).alias("r"), F.sum("n").alias("total"))
 
     def cover(share: float) -> Column:
@@ -60,15 +67,12 @@ def features(docs: DataFrame) -> DataFrame:
         return F.log(reached["rank"].cast("double"))
 
     covers = ranked.select("doc_id", *[cover(s).alias(f"cover{round(s * 100)}") for s in SHARES])
-    sentences = F.filter(
-        F.transform(F.split("t", r"[.!?]+(?:\s|$)|\n+"), lambda s: F.size(_words(s))), lambda n: n > 0
-    )
     lengths = F.transform("w", lambda x: F.length(x))
 
     def mean(a: Column) -> Column:
         return F.aggregate(a, F.lit(0.0), lambda s, x: s + x) / F.size(a)
 
-    shape = base.select("doc_id", sentences.alias("s"), lengths.alias("l")).select(
+    shape = base.select("doc_id", "s", lengths.alias("l")).select(
         "doc_id",
         F.log(mean(F.col("s"))).alias("sentence_mean"),
         F.log(F.get(F.sort_array("s"), F.floor(F.size("s") / 2).cast("int")) + 1.0).alias("sentence_median"),
@@ -114,8 +118,6 @@ def level(fit: tuple[np.ndarray, np.ndarray, np.ndarray]) -> Column:
 
 def reading_levels(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """(doc_id, reading_level) of all ``docs`` (doc_id, text): null and empty texts have none."""
-    from ledgerloom.session import cut
-
     given = docs.where("text <> ''")
     measured = cut(features(given))
     fit = calibrate(measured.join(labels.where("reading_level IS NOT NULL").dropDuplicates(["doc_id"]), "doc_id"))
