@@ -288,6 +288,47 @@ def test_leaks(spark):
     assert leaks.leaks(docs.limit(0), items).count() == 0
 
 
+def _edited(rng, run, edits):
+    """``run`` with changed, lost and added words, none at its ends and no two side by side."""
+    out, at = list(run), sorted(rng.sample(range(1, len(run) - 1), len(run) - 2)[: 3 * edits])
+    at = [k for n, k in enumerate(at) if n == 0 or k - at[n - 1] > 1][:edits]
+    for k in reversed(at):
+        kind = rng.choice("cla")
+        out[k : k + 1] = ["changed"] if kind == "c" else [] if kind == "l" else [out[k], "added"]
+    return out
+
+
+def test_recall_of_leaks_by_run_length_and_edits(spark):
+    rng = random.Random(11)
+    vocabulary = [f"w{i}" for i in range(400)]
+    items = {i: [rng.choice(vocabulary) for _ in range(60)] for i in range(40)}
+    docs, cases = [], {}
+    for length, edits in itertools.product((10, 11, 12, 13, 14, 16, 20, 30), (0, 1, 2, 3)):
+        for n in range(10):
+            item, start = rng.randrange(40), rng.randrange(30)
+            run = items[item][start : start + length]
+            text = [rng.choice(vocabulary) for _ in range(50)] + _edited(rng, run, edits) + [rng.choice(vocabulary) for _ in range(50)]
+            cases[len(docs)] = (length, edits, item)
+            docs.append((len(docs), " ".join(text)))
+    got = {(r.doc_id, r.item_id) for r in leaks.leaks(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame([(i, " ".join(w)) for i, w in items.items()], "item_id long, text string")).collect()}
+    recall = {}
+    for d, (length, edits, item) in cases.items():
+        recall.setdefault((length, edits), []).append((d, item) in got)
+    rate = {k: sum(v) / len(v) for k, v in recall.items()}
+    print({k: r for k, r in rate.items() if r < 1})
+    assert all(r == 1 for (length, edits), r in rate.items() if length >= 12 and edits <= 1)
+    assert all(r >= 0.9 for (length, edits), r in rate.items() if length >= 20)
+    assert all(r == 0 for (length, edits), r in rate.items() if length < 12 and edits == 0)
+
+
+def test_short_items_leak_only_whole(spark):
+    docs = spark.createDataFrame([(1, "x one two three four five y"), (2, "x one two three changed five y"), (3, "one two three four")], "doc_id long, text string")
+    items = spark.createDataFrame([(9, "One two three four five"), (8, "one two")], "item_id long, text string")
+    assert [(r.doc_id, r.item_id) for r in leaks.leaks(docs, items).collect()] == [(1, 9)]
+    monkey = "<a href='" + "x" * 300 + "'>one</a> two three four five"
+    assert leaks.leaks(spark.createDataFrame([(1, monkey)], "doc_id long, text string"), items).count() == 1
+
+
 # ---- reading level ----------------------------------------------------------------------------------------------------
 
 
