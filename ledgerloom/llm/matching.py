@@ -2,9 +2,14 @@
 
 Sorted neighbourhood: names of both sides are sorted under several composite keys, and each mention meets the
 ``WINDOW`` register rows before and after its place in each order. Weighted field similarities of name, style, office,
-election and dates give a confidence; each row takes its best candidate by itself, and for names that the register
-holds twice the dates are part of that score. As any number of rows may name one entity, no joint assignment is made:
-its total would be largest for these same choices.
+election and dates give a confidence.
+
+Names are then assigned one to one: a *name* of the mentions (all ways to write one person or group) takes at most one
+name of the register and the other way round, so that the total confidence is largest. Any number of rows may carry a
+name; what the assignment forbids is that a name of its own also takes a similar name that belongs to another. A spelling
+is a name of its own if it stands in several texts and in at least one ``RATIO``-th as many as the name it resembles,
+and if more than a letter doubled, added, lost or misplaced sets it apart; otherwise it is a slip of that one. Within its assigned name each row takes the register row of the highest confidence, by
+style, office, election and dates.
 
 Defined results: null and blank names match nothing; a row gets at most one entity; equal confidences go to the
 smaller key; repeated rows each get their match; an empty register or table gives no rows.
@@ -19,10 +24,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.llm.committee_parts import FIELDS, office_of, parse
-from ledgerloom.session import cut
+from ledgerloom.session import cut, discard, shuffle_tasks, spread
 
 WINDOW = 6
 ACCEPT = 4.6
+RATIO = 8
+#: Least raise of a bid: the assignment's total is within this much a name of the largest.
+RAISE = 0.01
 
 
 def _split(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -38,7 +46,7 @@ def _offices(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def name_parts(texts: DataFrame) -> DataFrame:
     schema = ", ".join(["text string", *[f"{f} {'array<string>' if f == 'firsts' else 'string'}" for f in FIELDS]])
-    return texts.where("trim(text) <> ''").select("text").distinct().mapInPandas(_split, schema)
+    return spread(texts.where("trim(text) <> ''").select("text").distinct()).mapInPandas(_split, schema)
 
 
 def sort_keys() -> Column:
@@ -58,19 +66,84 @@ def sort_keys() -> Column:
 def neighbours(mentions: DataFrame, register: DataFrame) -> DataFrame:
     """(text, key_id) of mentions (text, ...) and the register rows (key_id, ...) near them in some order.
 
-    Orders are cut at the key's first letters, so one order is sorted by many tasks; the position of a mention is the
-    number of register rows before it, and the rows around it are found by an equality join on positions.
+    All orders are sorted as one, in ranges of the sort key, so no task sees a whole order whatever its keys are. The position
+    of a mention is the number of register rows before it: those of its range are counted in place, those of earlier ranges
+    come from the ranges' sizes (one row a range). The rows around it are found by an equality join on positions.
     """
     m = mentions.select("text", F.lit(None).cast("string").alias("key_id"), F.explode(sort_keys()).alias("k"))
     r = register.select(F.lit(None).cast("string").alias("text"), "key_id", F.explode(sort_keys()).alias("k"))
-    part = F.substring_index("k", "|", 1)
-    part = F.when(F.col("k").rlike("^[5-7]"), F.substring_index("k", "|", 2)).otherwise(F.concat(part, F.substring(F.element_at(F.split("k", r"\|"), 2), 1, 1)))
-    both = m.unionByName(r).withColumn("part", part)
-    order = Window.partitionBy("part").orderBy("k", F.col("key_id").asc_nulls_last(), "text").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    placed = cut(both.withColumn("pos", F.count("key_id").over(order)))
-    spots = placed.where("key_id IS NULL").select("text", "part", F.explode(F.sequence(F.col("pos") - (WINDOW - 1), F.col("pos") + WINDOW)).alias("pos"))
-    rows = placed.where("key_id IS NOT NULL").select("key_id", "part", "pos")
-    return spots.join(rows, ["part", "pos"]).select("text", "key_id").distinct()
+    order = [F.col("k"), F.col("key_id").asc_nulls_last(), F.col("text")]
+    both = cut(m.unionByName(r).repartitionByRange(shuffle_tasks(mentions.sparkSession), *order).withColumn("part", F.spark_partition_id()))
+    sizes = both.groupBy("part").agg(F.count("key_id").alias("n"))
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("off"))
+    inside = Window.partitionBy("part").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    placed = cut(both.withColumn("own", F.count("key_id").over(inside)).join(F.broadcast(offsets), "part").withColumn("pos", F.col("own") + F.col("off")))
+    spots = placed.where("key_id IS NULL").select("text", F.explode(F.sequence(F.col("pos") - (WINDOW - 1), F.col("pos") + WINDOW)).alias("pos"))
+    rows = placed.where("key_id IS NOT NULL").select("key_id", "pos")
+    return spots.join(rows, "pos").select("text", "key_id").distinct()
+
+
+def assign(edges: DataFrame) -> DataFrame:
+    """(a, b) of edges (a, b, value): each a and each b at most once, with the largest total of positive values.
+
+    An auction: every a without a partner bids for the b that is worth most to it at its present price, up to what makes its
+    second choice, or none, as good, plus ``RAISE``; the highest bid takes the b and frees its former partner. Each round is a
+    few aggregates over all bidders at once. Prices only rise, so the rounds end by themselves.
+    """
+    edges = cut(edges.where("value > 0").groupBy("a", "b").agg(F.max("value").alias("value")))
+    held = edges.select("b", "a", F.col("value").alias("price")).limit(0)
+    while True:
+        owned = held.select(F.col("a"), F.lit(True).alias("owned"))
+        worth = edges.join(owned, "a", "left_anti").join(held.select("b", "price"), "b", "left")
+        worth = worth.withColumn("net", F.col("value") - F.coalesce("price", F.lit(0.0))).where("net > 0")
+        best = F.min(F.struct((-F.col("net")).alias("d"), "b", F.coalesce("price", F.lit(0.0)).alias("price")))
+        # the second best: the largest net of the others, 0 if there is none
+        ranked = worth.groupBy("a").agg(best.alias("m"), F.slice(F.sort_array(F.collect_list("net"), False), 2, 1).alias("second"))
+        bids = ranked.select("a", F.col("m.b").alias("b"), (F.col("m.price") - F.col("m.d") - F.coalesce(F.get("second", F.lit(0)), F.lit(0.0)) + RAISE).alias("bid"))
+        won = cut(bids.groupBy("b").agg(F.min(F.struct((-F.col("bid")).alias("d"), "a")).alias("m")).select("b", F.col("m.a").alias("a"), (-F.col("m.d")).alias("price")))
+        if won.isEmpty():
+            return held.select("a", "b")
+        old, held = held, cut(held.join(won, "b", "left_anti").unionByName(won))
+        discard(old, won)
+
+
+def _letters_slipped(a: Column, b: Column) -> Column:
+    """Equal, or a letter doubled, added or lost, or letters in another order: nothing another name would be told by."""
+    return (a == b) | ((F.abs(F.length(a) - F.length(b)) == 1) & (F.levenshtein(a, b) == 1)) | (F.array_sort(F.split(a, "")) == F.array_sort(F.split(b, "")))
+
+
+def _unit(first: Column) -> Column:
+    return F.when(F.col("kind") == "candidate", F.concat_ws("|", "kind", "last", first)).otherwise(F.concat_ws("|", "kind", "core"))
+
+
+def allowed_names(scored: DataFrame, mentions: DataFrame, register: DataFrame) -> DataFrame:
+    """(text, key_id) of ``scored`` (text, key_id, score) that the one-to-one assignment of names leaves."""
+    plain = F.regexp_replace(F.lower("text"), r"[^\p{L}\p{N}]+", "")
+    units = mentions.select("text", _unit(F.col("first")).alias("u"), plain.alias("plain"), "kind", "last", "first", "firsts", "core")
+    formal = F.coalesce(F.element_at(F.when(F.size("firsts") > 0, F.col("firsts")), -1), F.lit(""))
+    names = register.select("key_id", _unit(formal).alias("r"), *[F.col(c).alias(f"r_{c}") for c in ("last", "first", "firsts", "core")])
+    fx, fy = F.col("first"), F.col("r_first")
+    initial = (F.least(F.length(fx), F.length(fy)) <= 1) & (F.substring(fx, 1, 1) == F.substring(fy, 1, 1))
+    same_first = (fx == "") | (fy == "") | initial | F.arrays_overlap("firsts", "r_firsts")
+    person = F.col("kind") == "candidate"
+    exact = F.when(person, (F.col("last") == F.col("r_last")) & same_first).otherwise(F.col("core") == F.col("r_core"))
+    slip = F.when(person, _letters_slipped(F.col("last"), F.col("r_last")) & (same_first | _letters_slipped(fx, fy))).otherwise(True)
+    texts = units.groupBy("u").agg(F.countDistinct("plain").alias("n"))
+    claims = cut(
+        scored.join(units, "text").join(names, "key_id").groupBy("u", "r").agg(F.max("score").alias("value"), F.bool_or(exact).alias("exact"), F.bool_or(slip).alias("slip")).join(texts, "u")
+    )
+    own = claims.groupBy("u").agg(F.count_if("exact").alias("n_exact"), F.min(F.when(F.col("exact"), F.col("r"))).alias("exact_r"), F.max(F.struct("value", "r", "slip")).alias("m")).select("u", "n_exact", "exact_r", F.col("m.r").alias("best_r"), F.col("m.slip").alias("slip"))
+    owners = claims.where("exact").groupBy(F.col("r").alias("best_r")).agg(F.sum("n").alias("n_owner"))
+    who = own.join(texts, "u").join(owners, "best_r", "left")
+    apart = ~F.col("slip") & (F.col("n") >= 2) & (F.col("n") * RATIO >= F.coalesce("n_owner", F.lit(0)))
+    # a spelling that fits several names of the register exactly (a family name alone) is left to its rows
+    side = F.when(F.col("n_exact") > 1, None).when(F.col("n_exact") == 1, F.concat(F.lit("="), "exact_r")).when(apart, F.concat(F.lit("~"), "u")).otherwise(F.concat(F.lit("="), "best_r"))
+    who = cut(who.select("u", side.alias("side")))
+    edges = claims.join(who.where("side IS NOT NULL"), "u").select(F.col("side").alias("a"), F.col("r").alias("b"), "value")
+    pairs = assign(edges).select(F.col("a").alias("side"), F.col("b").alias("r"), F.lit(True).alias("paired"))
+    judged = scored.join(units.select("text", "u"), "text").join(who, "u").join(names.select("key_id", "r"), "key_id").join(pairs, ["side", "r"], "left")
+    return judged.where("side IS NULL OR paired").select("text", "key_id")
 
 
 def name_score() -> Column:
@@ -127,15 +200,16 @@ def match(rows: DataFrame, register: DataFrame) -> DataFrame:
     x = cut(name_parts(rows))
     y = cut(register.where("trim(text) <> ''").join(name_parts(register), "text"))
     near = neighbours(x, y.select("key_id", *FIELDS))
-    scored = (
+    scored = cut(
         near.join(x.alias("x"), near["text"] == F.col("x.text"))
         .join(y.alias("y"), near["key_id"] == F.col("y.key_id"))
         .select(near["text"], near["key_id"], name_score().alias("score"), F.col("y.registered"), F.col("y.closed"), F.col("y.cycle").alias("r_cycle"), F.col("y.office").alias("r_office"))
         .where(F.col("score") >= ACCEPT - 2.1)
     )
     best = Window.partitionBy("text")
+    scored = scored.join(allowed_names(scored.select("text", "key_id", "score"), x, y), ["text", "key_id"])
     kept = cut(scored.withColumn("top", F.max("score").over(best)).where(F.col("score") >= F.col("top") - 4.3).drop("top"))
-    codes = rows.where("office_text IS NOT NULL").select("office_text").distinct().mapInPandas(_offices, "office_text string, office_code string")
+    codes = spread(rows.where("office_text IS NOT NULL").select("office_text").distinct()).mapInPandas(_offices, "office_text string, office_code string")
     given = rows.join(codes, "office_text", "left").withColumn("office_code", F.coalesce("office_code", F.lit("")))
     total = F.col("score") + time_score()
     judged = given.join(kept, "text").select("row_id", "key_id", total.alias("total"))

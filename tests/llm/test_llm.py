@@ -206,6 +206,27 @@ def test_matching_with_twins_and_strangers(spark):
     assert got == {1: "1", 2: "2", 3: "3"}
 
 
+def test_assignment_has_the_largest_total(spark):
+    # the best choice of each alone would give A to both
+    edges = [("u", "A", 5.0), ("u", "B", 4.5), ("v", "A", 4.9), ("w", "C", -1.0)]
+    df = spark.createDataFrame(edges, "a string, b string, value double")
+    assert {tuple(r) for r in matching.assign(df).collect()} == {("u", "B"), ("v", "A")}
+    assert matching.assign(df.limit(0)).count() == 0
+    rng = random.Random(3)
+    value = {(a, b): round(rng.random() * 5, 2) for a in "uvwxy" for b in "ABCD" if rng.random() < 0.7}
+    best = max(sum(value.get((a, b), 0) for a, b in zip("uvwxy", p, strict=True)) for p in set(itertools.permutations("ABCD" + "-" * 5, 5)))
+    got = matching.assign(spark.createDataFrame([(a, b, v) for (a, b), v in value.items()], "a string, b string, value double")).collect()
+    assert len({r.a for r in got}) == len({r.b for r in got}) == len(got) and sum(value[r.a, r.b] for r in got) >= best - 5 * matching.RAISE
+
+
+def test_a_name_of_its_own_does_not_take_a_similar_one(spark):
+    reg = spark.sql("select '1' key_id, 'Friends of Virginia Talson' text, cast(null as date) registered, cast(null as date) closed, cast(null as string) cycle")
+    texts = ["Friends of Virginia Talson", "Talson  Virginia Friends of", "FRIENDS OF GINNY TALSON", "Friends of Virginia Salson", "Salson  Virginia Friends of", "Friends of Virginia Tallson", "Friends of Virginia Tolson"]
+    rows = spark.createDataFrame([(i, t, None, None, None) for i, t in enumerate(texts)], "row_id long, text string, day date, office_text string, cycle string")
+    # Salson stands in two texts and is somebody else; a slip of Talson, doubled or standing once, is Talson
+    assert sorted(r.row_id for r in matching.match(rows, reg).collect()) == [0, 1, 2, 5, 6]
+
+
 # ---- survivors --------------------------------------------------------------------------------------------------------
 
 
