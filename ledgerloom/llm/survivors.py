@@ -1,21 +1,27 @@
 """The best record of each duplicate group, field by field, by iterative truth discovery.
 
-Every row of a group is a source that claims one value per field. Values that say the same (an employer with and
-without its legal form, an occupation written short, a town misspelt) are one claim. Claims are weighted by how recent
-their row is within its group, since people move and change jobs, and by the reliability of the row, which is
-estimated in turn from how much support its claims have; the two are recomputed until no trust changes by more than
-``TOLERANCE``. The claim with the highest support wins, and of the rows that make it the one with the most complete text
-without slips survives. A name makes two claims: family with given name, and middle names if it has any; initials, short
-forms and slips are folded into a full spelling of the group.
-
-Every step is a join or an aggregate on group and field, so a group of any size is never gathered in one task.
+Every row of a group claims one value per field. Values that say the same (an employer with and without its legal form, an
+occupation written short, a town misspelt) are one claim. Rows come from sources: a source is a load (the rows created in one
+month, or what a column ``source`` says) together with a field, as a load may carry good names and outdated employers. Two
+estimates are made in turn until no source's trust changes by more than ``TOLERANCE``: the support of each claim, by the
+trust of the sources that make it; and the trust of each source, by how far the other rows of its groups support what it
+claims. The claim of the highest support wins, where people move and change jobs, so each older row of a group counts
+``1 / RECENCY`` of the next younger one: the newest value stands unless its source is much less reliable than those it
+contradicts. Of the rows that make the winning claim the one with the most complete text without slips survives. A name makes
+two claims: family with given name, and middle names if it has any; initials, short forms and slips are folded into a full
+spelling of the group.
+
+Every step is a join or an aggregate; ranks are counted in ranges of a sorted order, and similar claims of one group meet
+in an n-gram join, so a group of any size is never gathered in one task nor paired with itself.
 
 Defined results: a field that no row of the group names has no survivor; a group member without a row is passed over;
-rows of equal age rank by id; identical texts give their smallest id; repeated memberships count once.
+rows of equal age rank by id; identical texts give their smallest id; repeated memberships count once; a source whose
+claims no other row can confirm has the mean trust.
 """
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 
 import pandas as pd
@@ -23,13 +29,18 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.llm import name_parts as N
-from ledgerloom.session import cut
-
-TOLERANCE = 1e-4
-#: Only against rounds without end.
-MOST_ROUNDS = 100
+from ledgerloom.llm.sparse import similar_pairs
+from ledgerloom.session import cut, discard, shuffle_tasks, spread
+
+TOLERANCE = 1e-3
+#: From round ``STEADY`` on steps shrink by ``DAMP``, so that the rounds end even where estimates would swing.
+STEADY, DAMP = 20, 0.7
+#: Claims of mean trust that every source is given beside its own.
+PRIOR = 10.0
 #: How much more the next younger row weighs.
-RECENCY = 2.0
+RECENCY = 3.0
+#: Least cosine of 1- and 2-grams of claims that may be spellings of each other.
+CLAIM_COSINE = 0.15
 FIELDS = ["name", "city", "employer", "occupation"]
 
 
@@ -96,68 +107,99 @@ def claims(members: DataFrame) -> DataFrame:
     """(group_id, id, field, text, claim, full, created_at), with ``middle`` as a field of its own, of members (group_id, id, FIELDS, created_at)."""
     entries = F.array(*[F.struct(F.lit(f).alias("field"), F.col(f).alias("text")) for f in FIELDS])
     long = members.select("group_id", "id", "created_at", F.inline(entries)).where("trim(text) <> ''")
-    forms = cut(long.select("field", "text").distinct().mapInPandas(_forms, "field string, text string, claim string, middle string, full double"))
+    forms = cut(spread(long.select("field", "text").distinct()).mapInPandas(_forms, "field string, text string, claim string, middle string, full double"))
     made = long.join(forms.where("claim <> ''"), ["field", "text"])
     middles = made.where("middle <> ''").withColumns({"field": F.lit("middle"), "claim": F.col("middle")})
     return made.unionByName(middles).drop("middle")
 
 
+def ranks(rows: DataFrame, group: str, order: list[Column], name: str) -> DataFrame:
+    """``rows`` with their rank from 1 in ``order`` within ``group``; ``order`` must be total.
+
+    Rows are sorted by group and order in ranges; a group may span many of them, and each range only adds the sizes of the
+    group's earlier ones (one number a group and range).
+    """
+    placed = cut(rows.repartitionByRange(shuffle_tasks(rows.sparkSession), F.col(group), *order).withColumn("_p", F.spark_partition_id()))
+    before = Window.partitionBy(group).orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = placed.groupBy(group, "_p").agg(F.count(F.lit(1)).alias("_n"))
+    sizes = sizes.select(group, "_p", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
+    own = F.row_number().over(Window.partitionBy("_p", group).orderBy(*order))
+    return placed.withColumn("_own", own).join(sizes, [group, "_p"]).withColumn(name, F.col("_own") + F.col("_off")).drop("_p", "_own", "_off")
+
+
+def fold_spellings(c: DataFrame) -> DataFrame:
+    """``c`` with each claim that is a misspelling or short form of a more usual one of its group replaced by that."""
+    named = F.col("field").isin("name", "middle")
+    whole = ~F.col("claim").rlike(r"(^|[ |]).?( |$)")
+    cn = F.when(named, F.when(whole, F.lit(1 << 40)).otherwise(0) + F.countDistinct("id")).otherwise(F.max("n"))
+    spelled = c.where("field <> 'occupation'").groupBy("group_id", "field", "claim").agg(cn.alias("cn"))
+    near = F.levenshtein("l.text", "r.text") <= F.when(F.length("l.text") >= 12, 3).otherwise(2)
+    same = F.when(F.col("l.field") == "name", _same_name(F.col("l.text"), F.col("r.text"))).when(F.col("l.field") == "middle", _same_middle(F.col("l.text"), F.col("r.text"))).otherwise(near)
+    more = (F.col("r.cn") > F.col("l.cn")) | (F.col("l.field").isin("name", "middle") & (F.col("r.cn") == F.col("l.cn")) & (F.col("r.text") > F.col("l.text")))
+    items = spelled.select(F.sha2(F.to_json(F.struct("group_id", "field", "claim")), 256).alias("id"), "group_id", "field", F.col("claim").alias("text"), "cn")
+    pairs = similar_pairs(items, "text", CLAIM_COSINE, sizes=(1, 2), block=["group_id", "field"], ordered=more, also=same)
+    x = items.select(F.col("id").alias("a"), "group_id", "field", F.col("text").alias("claim"))
+    y = items.select(F.col("id").alias("b"), F.struct("cn", F.col("text").alias("claim")).alias("y"))
+    fixed = pairs.join(x, "a").join(y, "b").groupBy("group_id", "field", "claim").agg(F.max("y").getField("claim").alias("right"))
+    return c.join(fixed, ["group_id", "field", "claim"], "left").withColumn("claim", F.coalesce("right", "claim")).drop("right")
+
+
+def source_trust(c: DataFrame) -> DataFrame:
+    """(source, field, trust) of claims (group_id, field, claim, source): how far other rows support what a source says."""
+    cells = cut(c.groupBy("group_id", "field", "claim", "source").agg(F.count(F.lit(1)).alias("k")))
+    trust = cut(cells.select("source", "field").distinct().withColumn("trust", F.lit(1.0)))
+    step = 1.0
+    for turn in itertools.count():
+        backed = cells.join(trust, ["source", "field"]).withColumn("s", F.col("k") * F.col("trust"))
+        support = backed.groupBy("group_id", "field", "claim").agg(F.sum("s").alias("support"))
+        total = support.groupBy("group_id", "field").agg(F.sum("support").alias("total"))
+        judged = backed.join(support, ["group_id", "field", "claim"]).join(total, ["group_id", "field"])
+        # each row is judged by the others of its group
+        others, rest = F.col("support") - F.col("trust"), F.col("total") - F.col("trust")
+        judged = judged.where(rest > 1e-9).groupBy("source", "field").agg(F.sum(F.col("k") * others / rest).alias("agreed"), F.sum("k").alias("n"))
+        mean = judged.agg(F.coalesce(F.sum("agreed") / F.sum("n"), F.lit(1.0)).alias("mean"))
+        fresh = trust.join(judged, ["source", "field"], "left").join(F.broadcast(mean))
+        new = (F.coalesce("agreed", F.lit(0.0)) + PRIOR * F.col("mean")) / (F.coalesce("n", F.lit(0)) + PRIOR)
+        moved = cut(fresh.select("source", "field", (F.col("trust") + (new - F.col("trust")) * step).alias("trust"), F.abs((new - F.col("trust")) * step).alias("change")))
+        discard(trust)
+        trust = moved
+        change = moved.agg(F.max("change")).first()[0]
+        if change is None or change < TOLERANCE:
+            return moved.drop("change")
+        trust = moved
+        step *= DAMP if turn >= STEADY else 1.0
+
+
 def survivors(members: DataFrame, known: DataFrame) -> DataFrame:
-    """(group_id, field, contributor_id) of members (group_id, id, FIELDS, created_at).
+    """(group_id, field, contributor_id) of members (group_id, id, FIELDS, created_at, and source if there is such a column).
 
     ``known`` (field, text, n) says how often a text occurs among all records: a slip is rarer than what it misspells.
     """
     once = members.dropDuplicates(["group_id", "id"])
-    youngest = Window.partitionBy("group_id").orderBy(F.col("created_at").asc_nulls_first(), "id")
-    ranked = once.withColumn("age", F.row_number().over(youngest).cast("double"))
-    ages = ranked.select("group_id", "id", "age")
+    load = F.coalesce(F.col("source").cast("string"), F.lit("")) if "source" in members.columns else F.coalesce(F.substring(F.col("created_at").cast("string"), 1, 7), F.lit(""))
+    ages = ranks(once.select("group_id", "id", "created_at", load.alias("source")), "group_id", [F.col("created_at").desc_nulls_last(), F.col("id").desc()], "age")
+    ages = ages.select("group_id", "id", "source", F.col("age").cast("double").alias("age"))
     c = claims(once).join(ages, ["group_id", "id"]).join(known, ["field", "text"], "left").withColumn("n", F.coalesce("n", F.lit(1)))
-    # misspelt claims of a group give way to a more usual spelling within it
-    named = F.col("field").isin("name", "middle")
-    whole = ~F.col("claim").rlike(r"(^|[ |]).?( |$)")
-    cn = F.when(named, F.when(whole, F.lit(1 << 40)).otherwise(0) + F.countDistinct("id")).otherwise(F.max("n"))
-    spelled = c.groupBy("group_id", "field", "claim").agg(cn.alias("cn"))
-    a, b = spelled.alias("a"), spelled.alias("b")
-    near = F.levenshtein("a.claim", "b.claim") <= F.when(F.length("a.claim") >= 12, 3).otherwise(2)
-    same = (
-        F.when(F.col("a.field") == "name", _same_name(F.col("a.claim"), F.col("b.claim")))
-        .when(F.col("a.field") == "middle", _same_middle(F.col("a.claim"), F.col("b.claim")))
-        .when(F.col("a.field").isin("city", "employer"), near)
-        .otherwise(False)
-    )
-    more = (F.col("b.cn") > F.col("a.cn")) | (F.col("a.field").isin("name", "middle") & (F.col("b.cn") == F.col("a.cn")) & (F.col("b.claim") > F.col("a.claim")))
-    better = a.join(b, (F.col("a.group_id") == F.col("b.group_id")) & (F.col("a.field") == F.col("b.field")) & more & same)
-    fixed = better.groupBy("a.group_id", "a.field", "a.claim").agg(F.max(F.struct("b.cn", "b.claim")).getField("claim").alias("right"))
-    c = c.join(fixed, ["group_id", "field", "claim"], "left").withColumn("claim", F.coalesce("right", "claim")).drop("right")
+    c = fold_spellings(cut(c))
     # counted from the youngest row that names the field: any size of group weighs alike, and no field's weights are all 0
-    top = c.groupBy("group_id", "field").agg(F.max("age").alias("top"))
-    c = cut(c.join(top, ["group_id", "field"]).withColumn("weight", F.pow(F.lit(RECENCY), F.col("age") - F.col("top"))).drop("top"))
-    trust = ages.select("group_id", "id", F.lit(1.0).alias("trust"))
-    for _ in range(MOST_ROUNDS):
-        votes = c.join(trust, ["group_id", "id"]).groupBy("group_id", "field", "claim").agg(F.sum(F.col("weight") * F.col("trust")).alias("support"))
-        total = Window.partitionBy("group_id", "field")
-        votes = votes.withColumn("share", F.col("support") / F.sum("support").over(total))
-        new = c.join(votes, ["group_id", "field", "claim"]).groupBy("group_id", "id").agg((0.5 + 0.5 * F.avg("share")).alias("trust"))
-        moved = cut(new.join(trust.withColumnRenamed("trust", "old"), ["group_id", "id"]))
-        trust = moved.drop("old")
-        change = moved.agg(F.max(F.abs(F.col("trust") - F.col("old")))).first()[0]
-        if change is None or change < TOLERANCE:
-            break
-    votes = c.join(trust, ["group_id", "id"]).groupBy("group_id", "field", "claim").agg(F.sum(F.col("weight") * F.col("trust")).alias("support"))
-    best = votes.groupBy("group_id", "field").agg(F.max(F.struct("support", "claim")).getField("claim").alias("claim"))
+    top = c.groupBy("group_id", "field").agg(F.min("age").alias("top"))
+    c = cut(c.join(top, ["group_id", "field"]).withColumn("weight", F.pow(F.lit(RECENCY), F.col("top") - F.col("age"))).drop("top"))
+    trust = source_trust(c)
+    votes = c.join(trust, ["source", "field"]).groupBy("group_id", "field", "claim").agg(F.sum(F.col("weight") * F.col("trust")).alias("support"))
+    best = cut(votes.groupBy("group_id", "field").agg(F.max(F.struct("support", "claim")).getField("claim").alias("claim")))
     won = c.join(best, ["group_id", "field", "claim"])
     middle = best.where("field = 'middle'").select("group_id", F.col("claim").alias("middle"))
     strays = c.where("field = 'middle'").join(middle, "group_id").where("claim <> middle").select("group_id", F.lit("name").alias("field"), "id", F.lit(1).alias("stray")).distinct()
-    won = won.where("field <> 'middle'").join(strays, ["group_id", "field", "id"], "left").withColumn("stray", F.coalesce("stray", F.lit(0)))
-    # names: words no other row of the group confirms are slips
-    words = won.where("field = 'name'").select("group_id", "id", "text", F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(r"(\p{L}{2,})"), F.lit(1)))).alias("word"))
-    seen = words.groupBy("group_id", "word").agg(F.countDistinct("id").alias("k"))
-    lone = words.join(seen, ["group_id", "word"]).select("group_id", "id", F.col("word"), "k")
-    alone = lone.where("k = 1").alias("l").join(
-        seen.alias("s"), (F.col("l.group_id") == F.col("s.group_id")) & (F.col("s.k") > 1) & (F.col("l.word") != F.col("s.word")) & (F.levenshtein("l.word", "s.word") <= 2) & (F.length("l.word") >= 4)
-    )
-    slips = alone.select("l.group_id", "l.id").distinct().withColumn("slip", F.lit(1))
-    ready = won.join(slips, ["group_id", "id"], "left").withColumn("slip", F.when(F.col("field") == "name", F.coalesce("slip", F.lit(0))).otherwise(0))
-    usual = F.when(F.col("field") == "name", F.lit(0.0)).otherwise(F.least(F.log(1.0 + F.col("n")), F.lit(12.0)) * 4)
-    pick = Window.partitionBy("group_id", "field").orderBy("stray", "slip", (F.col("full") + usual).desc(), F.col("n").desc(), "text", "id")
-    return ready.withColumn("k", F.row_number().over(pick)).where("k = 1").select("group_id", "field", F.col("id").alias("contributor_id"))
+    won = cut(won.where("field <> 'middle'").join(strays, ["group_id", "field", "id"], "left").withColumn("stray", F.coalesce("stray", F.lit(0))))
+    # names: words no other row of the group confirms, but nearly, are slips
+    words = won.where("field = 'name'").select("group_id", "id", F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(r"(\p{L}{2,})"), F.lit(1)))).alias("word"))
+    seen = cut(words.groupBy("group_id", "word").agg(F.countDistinct("id").alias("k"), F.min("id").alias("by")))
+    items = seen.select(F.sha2(F.to_json(F.struct("group_id", "word")), 256).alias("id"), "group_id", F.col("word").alias("text"), "k")
+    lone = (F.col("l.k") == 1) & (F.col("r.k") > 1) & (F.length("l.text") >= 4)
+    near = similar_pairs(items, "text", CLAIM_COSINE, sizes=(1, 2), block=["group_id"], ordered=lone, also=F.levenshtein("l.text", "r.text") <= 2)
+    slips = seen.join(items.select("id", "group_id", F.col("text").alias("word")), ["group_id", "word"]).join(near.select(F.col("a").alias("id")).distinct(), "id", "left_semi")
+    slips = slips.select("group_id", F.col("by").alias("id"), F.lit("name").alias("field"), F.lit(1).alias("slip")).distinct()
+    ready = won.join(slips, ["group_id", "id", "field"], "left").withColumn("slip", F.coalesce("slip", F.lit(0)))
+    usual = F.when(F.col("field") == "name", F.lit(0.0)).otherwise(F.log(1.0 + F.col("n")) * 4)
+    first = F.min(F.struct("stray", "slip", (-F.col("full") - usual).alias("full"), (-F.col("n")).alias("n"), "text", "id"))
+    return ready.groupBy("group_id", "field").agg(first.alias("m")).select("group_id", "field", F.col("m.id").alias("contributor_id"))

@@ -261,6 +261,42 @@ def test_names_are_voted_on(spark):
     assert got == {0: "Ann Marie Roe", 1: "Ann Grace Larkin", 2: "Robert Lee Bostwick", 3: "Ann Marie Roe"}
 
 
+def test_the_newest_value_of_an_unreliable_load_is_not_taken(spark):
+    rows = []
+    for g in range(30):  # the load of 2023-05 is contradicted by all other rows of most groups
+        for k, month in enumerate(["2021-01", "2022-01", "2023-05"]):
+            rows.append((g, 10 * g + k, "Right Town" if month != "2023-05" else f"Wrong{chr(97 + g % 26)}{chr(97 + g // 26)} Borough", f"{month}-15 00:00:00"))
+    for g in range(30, 60):  # and people who moved, told by a reliable load
+        rows += [(g, 10 * g, "Old Town", "2021-01-15 00:00:00"), (g, 10 * g + 1, "Old Town", "2022-01-15 00:00:00"), (g, 10 * g + 2, "New Harbor", "2024-02-15 00:00:00"), (g, 10 * g + 3, "New Harbor", "2024-03-15 00:00:00")]
+    m = spark.createDataFrame(rows, "group_id long, id long, city string, at string").selectExpr("group_id", "id", "'Ann Roe' name", "city", "cast(null as string) employer", "cast(null as string) occupation", "cast(at as timestamp_ntz) created_at")
+    known = spark.createDataFrame([], "field string, text string, n long")
+    got = {r.group_id: r.contributor_id for r in survivors.survivors(m, known).where("field = 'city'").collect()}
+    assert all(got[g] == 10 * g for g in range(30)) and all(got[g] == 10 * g + 2 for g in range(30, 60))
+
+
+def test_trust_settles_and_favours_agreement(spark):
+    rows = [(g, "city", "x" if s != "bad" else f"y{g}", s) for g in range(50) for s in ("a", "b", "bad")]
+    c = spark.createDataFrame(rows, "group_id long, field string, claim string, source string")
+    trust = {r.source: r.trust for r in survivors.source_trust(c).collect()}
+    # the fixed point, by hand: a and b back each other against bad
+    a = b = bad = 1.0
+    for _ in range(200):
+        agreed = [50 * b / (b + bad), 50 * a / (a + bad), 0.0]
+        mean = sum(agreed) / 150
+        a, b, bad = [(x + survivors.PRIOR * mean) / (50 + survivors.PRIOR) for x in agreed]
+    assert trust["a"] == pytest.approx(a, abs=0.01) and trust["bad"] == pytest.approx(bad, abs=0.01) and trust["bad"] < trust["a"] / 3
+
+
+def test_ranks_of_groups_that_span_ranges(spark):
+    rng = random.Random(1)
+    rows = [(rng.choice([1, 1, 1, 2, 3]), i, rng.randrange(50)) for i in range(300)]
+    df = spark.createDataFrame(rows, "g long, id long, at long")
+    got = {r.id: r.k for r in survivors.ranks(df, "g", [F.col("at").desc(), F.col("id").desc()], "k").collect()}
+    for g in (1, 2, 3):
+        order = sorted((r for r in rows if r[0] == g), key=lambda r: (-r[2], -r[1]))
+        assert [got[r[1]] for r in order] == list(range(1, len(order) + 1))
+
+
 # ---- tokens -----------------------------------------------------------------------------------------------------------
 
 
