@@ -8,8 +8,9 @@ every candidate is then verified on whole vectors. The join is exact: no pair at
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Iterator, Sequence
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -17,6 +18,8 @@ from ledgerloom.session import cut, discard, shuffle_tasks
 
 #: A posting list longer than this is met in slices of this length.
 SLICE = 5000
+#: Most edges of a connected component that one task clusters.
+BOUNDED = 20_000
 
 
 def gram_array(text: Column, sizes: Sequence[int]) -> Column:
@@ -32,9 +35,9 @@ def gram_array(text: Column, sizes: Sequence[int]) -> Column:
     return F.array_distinct(F.concat(*one))
 
 
-def vectors(items: DataFrame, text: str, sizes: Sequence[int]) -> DataFrame:
-    """``items`` (with a unique ``id``) plus vec: array of (df, gram, w), rarest first, of length one."""
-    grams = items.select("id", F.explode(gram_array(F.col(text), sizes)).alias("gram"))
+def vectors(items: DataFrame, grams: Column) -> DataFrame:
+    """``items`` (with a unique ``id``) plus vec: array of (gram, w), rarest first, of length one."""
+    grams = items.select("id", F.explode(grams).alias("gram"))
     n = max(items.count(), 1)
     weights = grams.groupBy("gram").agg(F.count(F.lit(1)).alias("df"))
     weights = weights.withColumn("w", F.log(1 + F.lit(float(n)) / F.col("df")))
@@ -81,21 +84,29 @@ def similar_pairs(
     block: Sequence[str] = (),
     ordered: Column | None = None,
     also: Column | None = None,
+    within: str | None = None,
+    grams: Column | None = None,
 ) -> DataFrame:
     """(a, b, cos) of items of equal ``block`` values with cosine >= ``threshold``.
 
+    ``within`` names an array of contexts: items then meet only if they share one. ``grams`` are an item's features where
+    they are not the n-grams of ``text``.
+
     Without ``ordered`` every pair comes once, a < b. ``ordered`` is a condition on the columns of ``l`` and ``r``
     (aliases of the two items, their texts as ``text``) that says which pairs to form instead; ``also`` is one more
     that every pair must meet, checked before the dearer cosine.
     """
-    vec = cut(vectors(items, text, sizes))
+    vec = cut(vectors(items, gram_array(F.col(text), sizes) if grams is None else grams))
     posting = vec.withColumn("gram", F.explode(F.slice("vec", F.lit(1), prefix_length(F.col("vec"), threshold)))).withColumn(
         "gram", F.col("gram.gram")
     )
     # few bytes, much work: as many tasks as the session's shuffles have, whatever the size. Spark does not split a
     # shuffle that was asked for, so long posting lists are split here: one side in slices, the other once for each
     tasks = shuffle_tasks(items.sparkSession)
-    light = cut(posting.drop("vec").withColumnRenamed(text, "text"))
+    light = posting.drop("vec").withColumnRenamed(text, "text")
+    if within is not None:
+        light, block = light.withColumn(within, F.explode(within)), [*block, within]
+    light = cut(light)
     keys = ["gram", *block]
     long = light.groupBy(*keys).agg(F.ceil(F.count(F.lit(1)) / SLICE).cast("int").alias("slices")).where("slices > 1")
     known = light.join(long, keys, "left").withColumn("slices", F.coalesce("slices", F.lit(1)))
@@ -122,13 +133,71 @@ def best_partners(pairs: DataFrame, n: int) -> DataFrame:
     return pairs.withColumn("rank", F.rank().over(w)).where(F.col("rank") <= n).drop("rank")
 
 
+def components(edges: DataFrame) -> DataFrame:
+    """(id, root) of nodes with edges (a, b): the smallest node connected with each.
+
+    Each round links every node's neighbours, and the node itself, to the smallest of them, in both directions of growth
+    (large and small stars), so distances halve and the rounds are about the logarithm of the longest path.
+    """
+    near = cut(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct())
+    while True:
+        both = near.select(F.explode(F.array(F.struct("u", "v"), F.struct(F.col("v").alias("u"), F.col("u").alias("v")))).alias("e")).select("e.*")
+        low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+        large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        low = large.groupBy("u").agg(F.min("v").alias("m"))
+        small = large.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").unionByName(low.select("u", F.col("m").alias("v"))).distinct()
+        after = cut(small)
+        # a forest of stars stays as it is
+        same = after.join(near, ["u", "v"], "left_anti").isEmpty() and near.join(after, ["u", "v"], "left_anti").isEmpty()
+        discard(near)
+        near = after
+        if same:
+            return near.select(F.col("u").alias("id"), F.col("v").alias("root")).unionByName(near.select(F.col("v").alias("id"), F.col("v").alias("root")).distinct())
+
+
+def merge_rounds(edges: Iterable[tuple[str, str, float]], threshold: float) -> dict[str, str]:
+    """Cluster of each node of ``edges`` (a, b, sim), in rounds that merge all pairs of clusters nearest to each other."""
+    near: dict[str, dict[str, float]] = {}
+    for a, b, sim in edges:
+        near.setdefault(a, {})[b] = sim
+        near.setdefault(b, {})[a] = sim
+    size = dict.fromkeys(near, 1)
+    into = {n: n for n in near}
+    while True:
+        best = {}
+        for x, ys in near.items():
+            found = min(((-total / (size[x] * size[y]), y) for y, total in ys.items()), default=None)
+            if found is not None and -found[0] >= threshold:
+                best[x] = found[1]
+        merges = [(x, y) for x, y in best.items() if x > y and best.get(y) == x]
+        if not merges:
+            break
+        for old, new in merges:
+            into[old] = new
+            size[new] += size.pop(old)
+            for y, total in near.pop(old).items():
+                del near[y][old]
+                if y != new:
+                    near[new][y] = near[new].get(y, 0.0) + total
+                    near[y][new] = near[new][y]
+
+    def root(n: str) -> str:
+        while into[n] != n:
+            n = into[n]
+        return n
+
+    return {n: root(n) for n in into}
+
+
 def average_linkage(edges: DataFrame, threshold: float) -> DataFrame:
     """(id, cluster) of nodes with edges (a, b, sim), by average linkage down to ``threshold``.
 
     Pairs without an edge have similarity 0. Each round merges all pairs of clusters that are each other's nearest,
     which for average linkage gives the same tree as merging one pair at a time; sums of similarities of merged
-    clusters are added up, so no cluster is ever gathered in one task. Ties go to the smallest id. A cluster's id is
-    its smallest member's. Each round merges at least one pair while any is left, so the loop ends by itself.
+    clusters are added up. Ties go to the smallest id. A cluster's id is its smallest member's.
+
+    Connected components are independent. Those of at most ``BOUNDED`` edges run all their rounds in one task each, larger
+    ones in rounds over the whole table, so no component of unknown size is gathered; both follow the same rule.
     """
     links = cut(
         edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "sim")
@@ -136,6 +205,29 @@ def average_linkage(edges: DataFrame, threshold: float) -> DataFrame:
         .groupBy("a", "b")
         .agg(F.max("sim").alias("total"))
     )
+    found = components(links.where(F.col("total") > 0))
+    named = links.join(found.withColumnRenamed("id", "a"), "a")
+    large = named.groupBy("root").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > BOUNDED).select("root")
+    large = cut(large)
+
+    def clusters(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for e in zip(batch["a"], batch["b"], batch["total"], strict=True):
+                got = merge_rounds(zip(*e, strict=True), threshold)
+                yield pd.DataFrame({"id": list(got), "cluster": list(got.values())})
+
+    # a component's edges are one row
+    gathered = named.join(large, "root", "left_anti").groupBy("root").agg(F.collect_list(F.struct("a", "b", "total")).alias("e"))
+    rows = gathered.select("e.a", "e.b", "e.total")
+    small = cut(rows.mapInPandas(clusters, "id string, cluster string"))
+    if large.isEmpty():
+        return small
+    rest = cut(named.join(large, "root", "left_semi").select("a", "b", "total"))
+    return small.unionByName(_rounds(rest, threshold))
+
+
+def _rounds(links: DataFrame, threshold: float) -> DataFrame:
+    """(id, cluster): the rounds of :func:`average_linkage` over a table of links (a, b, total) of any size."""
     nodes = links.select(F.explode(F.array("a", "b")).alias("id")).distinct().withColumn("cluster", F.col("id"))
     nodes = cut(nodes)
     sizes = nodes.select(F.col("id").alias("c")).withColumn("n", F.lit(1).cast("long"))
@@ -160,6 +252,7 @@ def average_linkage(edges: DataFrame, threshold: float) -> DataFrame:
             m = merge.select(F.col("old").alias(column), "new")  # noqa: B023
             return df.join(m, column, "left").withColumn(column, F.coalesce("new", column)).drop("new")
 
+        old = (nodes, sizes, links, merge)
         nodes = cut(renamed(nodes, "cluster"))
         sizes = cut(renamed(sizes, "c").groupBy("c").agg(F.sum("n").alias("n")))
         moved = renamed(renamed(links, "a"), "b").where("a <> b")
@@ -168,4 +261,5 @@ def average_linkage(edges: DataFrame, threshold: float) -> DataFrame:
             .groupBy("a", "b")
             .agg(F.sum("total").alias("total"))
         )
+        discard(*old)
     return nodes

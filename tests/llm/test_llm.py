@@ -55,7 +55,9 @@ def _brute_linkage(nodes, edges, threshold):
         clusters[best[1]] |= clusters.pop(best[2])
 
 
-def test_average_linkage_against_brute_force(spark):
+@pytest.mark.parametrize("bounded", [20_000, 5])
+def test_average_linkage_against_brute_force(spark, monkeypatch, bounded):
+    monkeypatch.setattr(sparse, "BOUNDED", bounded)
     rng = random.Random(2)
     nodes = [f"n{i:02d}" for i in range(18)]
     edges = {(a, b): rng.random() for a, b in itertools.combinations(nodes, 2) if rng.random() < 0.3}
@@ -65,6 +67,28 @@ def test_average_linkage_against_brute_force(spark):
     assert {k: want[k] for k in got} == got
 
 
+def test_linkage_of_ties_is_the_same_in_one_task_and_in_rounds(spark, monkeypatch):
+    rng = random.Random(4)
+    edges = [(f"n{a:03d}", f"n{b:03d}", rng.choice([0.6, 1.0])) for a, b in itertools.combinations(range(60), 2) if abs(a - b) < 4 and rng.random() < 0.7]
+    df = spark.createDataFrame(edges, "a string, b string, sim double")
+    whole = {r.id: r.cluster for r in sparse.average_linkage(df, 0.5).collect()}
+    monkeypatch.setattr(sparse, "BOUNDED", 3)
+    assert {r.id: r.cluster for r in sparse.average_linkage(df, 0.5).collect()} == whole and len(set(whole.values())) > 1
+
+
+def test_components(spark):
+    rng = random.Random(6)
+    edges = [(f"p{i:03d}", f"p{i + 1:03d}") for i in range(70)] + [(f"q{rng.randrange(40):02d}", f"q{rng.randrange(40):02d}") for _ in range(30)]
+    root = {}
+    find = lambda x: x if root.setdefault(x, x) == x else find(root[x])
+    for a, b in edges:
+        lo, hi = sorted((find(a), find(b)))
+        root[hi] = lo
+    got = {r.id: r.root for r in sparse.components(spark.createDataFrame(edges, "a string, b string")).collect()}
+    assert got == {x: find(x) for a, b in edges if a != b for x in (a, b)}
+    assert sparse.components(spark.createDataFrame([], "a string, b string")).count() == 0
+
+
 # ---- addresses --------------------------------------------------------------------------------------------------------
 
 
