@@ -14,7 +14,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerloom.session import cut, discard, shuffle_tasks
+from ledgerloom.session import cut, discard, shuffle_tasks, spread
 
 #: A posting list longer than this is met in slices of this length.
 SLICE = 5000
@@ -35,9 +35,9 @@ def gram_array(text: Column, sizes: Sequence[int]) -> Column:
     return F.array_distinct(F.concat(*one))
 
 
-def vectors(items: DataFrame, grams: Column) -> DataFrame:
+def vectors(items: DataFrame, text: str, sizes: Sequence[int]) -> DataFrame:
     """``items`` (with a unique ``id``) plus vec: array of (gram, w), rarest first, of length one."""
-    grams = items.select("id", F.explode(grams).alias("gram"))
+    grams = items.select("id", F.explode(gram_array(F.col(text), sizes)).alias("gram"))
     n = max(items.count(), 1)
     weights = grams.groupBy("gram").agg(F.count(F.lit(1)).alias("df"))
     weights = weights.withColumn("w", F.log(1 + F.lit(float(n)) / F.col("df")))
@@ -84,42 +84,20 @@ def similar_pairs(
     block: Sequence[str] = (),
     ordered: Column | None = None,
     also: Column | None = None,
-    within: str | None = None,
-    grams: Column | None = None,
 ) -> DataFrame:
     """(a, b, cos) of items of equal ``block`` values with cosine >= ``threshold``.
 
-    ``within`` names an array of contexts: items then meet only if they share one. ``grams`` are an item's features where
-    they are not the n-grams of ``text``.
-
     Without ``ordered`` every pair comes once, a < b. ``ordered`` is a condition on the columns of ``l`` and ``r``
     (aliases of the two items, their texts as ``text``) that says which pairs to form instead; ``also`` is one more
     that every pair must meet, checked before the dearer cosine.
     """
-    vec = cut(vectors(items, gram_array(F.col(text), sizes) if grams is None else grams))
+    vec = cut(vectors(items, text, sizes))
     posting = vec.withColumn("gram", F.explode(F.slice("vec", F.lit(1), prefix_length(F.col("vec"), threshold)))).withColumn(
         "gram", F.col("gram.gram")
     )
-    # few bytes, much work: as many tasks as the session's shuffles have, whatever the size. Spark does not split a
-    # shuffle that was asked for, so long posting lists are split here: one side in slices, the other once for each
-    tasks = shuffle_tasks(items.sparkSession)
     light = posting.drop("vec").withColumnRenamed(text, "text")
-    if within is not None:
-        light, block = light.withColumn(within, F.explode(within)), [*block, within]
-    light = cut(light)
-    keys = ["gram", *block]
-    long = light.groupBy(*keys).agg(F.ceil(F.count(F.lit(1)) / SLICE).cast("int").alias("slices")).where("slices > 1")
-    known = light.join(long, keys, "left").withColumn("slices", F.coalesce("slices", F.lit(1)))
-    every = known.withColumn("slice", F.explode(F.sequence(F.lit(0), F.col("slices") - 1))).repartition(tasks, *keys, "slice")
-    own = known.withColumn("slice", F.pmod(F.xxhash64("id"), F.col("slices")).cast("int")).repartition(tasks, *keys, "slice")
     wanted = ordered if ordered is not None else F.col("l.id") < F.col("r.id")
-    on = (F.col("l.gram") == F.col("r.gram")) & (F.col("l.slice") == F.col("r.slice")) & wanted
-    if also is not None:
-        on = on & also
-    for b in block:
-        on = on & (F.col(f"l.{b}") == F.col(f"r.{b}"))
-    pairs = every.alias("l").join(own.alias("r"), on).select(F.col("l.id").alias("a"), F.col("r.id").alias("b")).distinct()
-    pairs = pairs.repartition(tasks, "a")
+    pairs = spread(meet(cut(light), ["gram", *block], wanted if also is None else wanted & also))
     v = vec.select("id", "vec")
     both = pairs.join(v.select(F.col("id").alias("a"), F.col("vec").alias("va")), "a").join(
         v.select(F.col("id").alias("b"), F.col("vec").alias("vb")), "b"
@@ -127,6 +105,23 @@ def similar_pairs(
     return both.select("a", "b", cosine(F.col("va"), F.col("vb")).alias("cos")).where(F.col("cos") >= threshold)
 
 
+def meet(rows: DataFrame, keys: Sequence[str], on: Column) -> DataFrame:
+    """(a, b): the distinct pairs of ids of ``rows`` (id, ...) with equal ``keys`` that fulfil ``on``, a condition on ``l`` and ``r``.
+
+    Few bytes are much work here, so the join has as many tasks as the session's shuffles, whatever the size. Spark does not
+    split a shuffle that was asked for, so rows of a long key are split here: one side in slices of ``SLICE`` rows, the other
+    once for each slice.
+    """
+    tasks = shuffle_tasks(rows.sparkSession)
+    long = rows.groupBy(*keys).agg(F.ceil(F.count(F.lit(1)) / SLICE).cast("int").alias("slices")).where("slices > 1")
+    known = rows.join(long, list(keys), "left").withColumn("slices", F.coalesce("slices", F.lit(1)))
+    every = known.withColumn("slice", F.explode(F.sequence(F.lit(0), F.col("slices") - 1))).repartition(tasks, *keys, "slice")
+    own = known.withColumn("slice", F.pmod(F.xxhash64("id"), F.col("slices")).cast("int")).repartition(tasks, *keys, "slice")
+    for k in (*keys, "slice"):
+        on = (F.col(f"l.{k}") == F.col(f"r.{k}")) & on
+    return every.alias("l").join(own.alias("r"), on).select(F.col("l.id").alias("a"), F.col("r.id").alias("b")).distinct()
+
+
 def best_partners(pairs: DataFrame, n: int) -> DataFrame:
     """Of (a, b, cos) the ``n`` most similar b of each a; ties at the end are all kept."""
     w = Window.partitionBy("a").orderBy(F.col("cos").desc())
