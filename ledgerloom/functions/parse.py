@@ -19,7 +19,9 @@ def state_date(c: Column) -> Column:
 
 
 def amount(c: Column) -> Column:
-    return F.trim(c).try_cast("decimal(12,2)")
+    """A plain decimal number of at most ten digits before and two after the point; anything else is null."""
+    t = F.trim(c)
+    return F.when(t.rlike(r"^-?[0-9]{1,10}(\.[0-9]{1,2})?$"), t.try_cast("decimal(12,2)"))
 
 
 def zip5(c: Column) -> Column:
@@ -43,12 +45,24 @@ def valid_cycle(cycle: Column, latest: int) -> Column:
     return (cycle % 2 == 0) & cycle.between(1980, latest)
 
 
+#: Street types that are not part of a town's name at its end.
+STREET_ENDS = ["St", "Ave", "Rd", "Dr", "Ln", "Ct", "Blvd", "Way", "Pl", "Cir", "Ter", "Pkwy", "Hwy"]
+
+
 def address(c: Column) -> Column:
-    """struct(city, state, zip) of "number street  city ST zip", best effort."""
-    state = F.nullif(F.regexp_extract(c, r"\b([A-Z]{2})\s*(?:\d{5}(?:-\d{4})?)?\s*$", 1), F.lit(""))
-    code = F.nullif(F.regexp_extract(c, r"(\d{5})(?:-\d{4})?\s*$", 1), F.lit(""))
-    town = F.nullif(strip(F.regexp_extract(c, r"\s{2,}([^,0-9]+?),?\s+[A-Z]{2}\b", 1)), F.lit(""))
-    return F.struct(title_case(town).alias("city"), state.alias("state"), code.alias("zip"))
+    """struct(city, state, zip) of "... city ST zip", best effort: the city is the run of words before the state."""
+    t = strip(c)
+    found = lambda pattern: F.nullif(F.regexp_extract(t, pattern, 1), F.lit(""))
+    town = strip(F.regexp_extract(t, r"\b([A-Za-z\s]+?)\s+[A-Z]{2}\s+\d{5}", 1))
+    town = strip(F.regexp_replace(town, rf"(?i)\b(?:{'|'.join(STREET_ENDS)})\b\.?\s*$", ""))
+    return F.struct(
+        title_case(F.nullif(town, F.lit(""))).alias("city"), found(r"\b([A-Z]{2})\s+\d{5}").alias("state"), found(r"\b(\d{5})(?:-\d{4})?\s*$").alias("zip")
+    )
+
+
+def coerced_date(c: Column) -> Column:
+    """A day out of any text that is one in ISO form, with or without time; null otherwise."""
+    return F.try_to_timestamp(strip(c)).cast("date")
 
 
 def content_hash(*columns: Column) -> Column:

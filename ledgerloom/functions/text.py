@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -19,6 +21,11 @@ def strip(c: Column) -> Column:
     return F.regexp_replace(c, r"^[\s\p{Z}]+|[\s\p{Z}]+$", "")
 
 
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of ``value``, which is computed once however often ``use`` refers to it, and stands once in the plan."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def null_words(c: Column) -> Column:
     t = strip(c)
     return F.when(t.isin(NULL_WORDS), None).otherwise(t)
@@ -40,7 +47,7 @@ def bulk_text(c: Column) -> Column:
 def title_case(c: Column) -> Column:
     """Each run of letters starts with a capital; the rest is lower case."""
     runs = F.regexp_extract_all(c, F.lit(r"(\p{L}+|[^\p{L}]+)"), F.lit(1))
-    return F.array_join(F.transform(runs, lambda x: F.concat(F.upper(F.substring(x, 1, 1)), F.lower(F.substring(x, 2, 10**6)))), "")
+    return F.array_join(F.transform(runs, lambda x: F.concat(F.upper(F.substring(x, 1, 1)), F.lower(F.substr(x, F.lit(2))))), "")
 
 
 def org_name(c: Column) -> Column:
@@ -74,8 +81,8 @@ def fec_name(c: Column) -> Column:
         low, letters = F.lower(w), F.rtrim(w, F.lit("."))
         return (
             F.when(F.length(letters) == 1, F.concat(F.upper(letters), F.lit(".")))
-            .when(low.startswith("mc") & (F.length(w) > 2), F.concat(F.lit("Mc"), title_case(F.substring(w, 3, 10**6))))
-            .when(low.startswith("o'") & (F.length(w) > 2), F.concat(F.lit("O'"), title_case(F.substring(w, 3, 10**6))))
+            .when(low.startswith("mc") & (F.length(w) > 2), F.concat(F.lit("Mc"), title_case(F.substr(w, F.lit(3)))))
+            .when(low.startswith("o'") & (F.length(w) > 2), F.concat(F.lit("O'"), title_case(F.substr(w, F.lit(3)))))
             .otherwise(title_case(w))
         )
 
@@ -113,25 +120,72 @@ def digits(c: Column) -> Column:
     return F.nullif(F.regexp_replace(c, r"[^0-9]", ""), F.lit(""))
 
 
-#: Openings and endings around a candidate's name in a committee's name, in order.
-NAME_OPENINGS = ["FRIENDS OF", "FRIENDS FOR", "CITIZENS FOR", "CITIZENS TO ELECT", "COMMITTEE TO ELECT", "COMMITTEE FOR", "PEOPLE FOR", "TEAM", "ELECT", "VOTE"]
-NAME_ENDINGS = [
-    "FRIENDS OF", "CITIZENS FOR", "CITIZENS TO ELECT", "COMMITTEE TO ELECT", "COMMITTEE FOR", "CAMPAIGN COMMITTEE", "PERSONAL TREASURER ACCOUNT",
-    "FOR [A-Z ']+", "CAMPAIGN", "COMMITTEE", "SLATE",
+#: What follows a candidate's name in "Last  First ..." (two blanks), in the order they are sought; the first that
+#: occurs ends the name, wherever it stands.
+NAME_ENDS = [
+    "Citizens to Elect", "Committee to Elect", "Friends of", "Friends for", "Citizens for", "Committee for", "for Governor",
+    "for Congress", "for Senate", "for Delegate", "for County", "for State", "for School", "for Commissioner", "for Judge",
+    "for Sheriff", "for Maryland", "for Baltimore", "for Allegany", "for Anne Arundel", "for Calvert", "for Caroline",
+    "for Carroll", "for Cecil", "for Charles", "for Dorchester", "for Frederick", "for Garrett", "for Harford", "for Howard",
+    "for Kent", "for Montgomery", "for Prince George", "for Queen Anne", "for Somerset", "for Talbot", "for Washington",
+    "for Wicomico", "for Worcester", "for Hagerstown", "for Cumberland", "for Our", "for Republican", "for Democrat",
+    "for Citizens", "for Progress", "for Change", "for Mayor", "for Council", "for District", "Marylanders For", "Campaign for",
+    "Campaign", "Committee", "Committe", "- Personal Treasurer", "Personal Treasurer", "The Friends Of",
+]
+#: Openings and endings of committees' names in any other form; one of each is taken off.
+NAME_OPENINGS = [
+    "Friends of", "Friends for", "Committee to Elect", "Committee for", "Citizens for", "Citizens to Elect", "Elect", "Re-Elect",
+    "Re Elect", "Team of", "Vote for", "Campaign for", "The Friends Of", "Marylanders for",
 ]
+NAME_CLOSINGS = [
+    "for Governor", "for Congress", "for Senate", "for Delegate", "for County Council", "for State Senate", "for School Board",
+    "for Commissioner", "for County Executive", "for Judge", "for Sheriff", "for Maryland", "for Our County", "Campaign",
+    "Committee", "- Personal Treasurer Account", "- Personal Treasurer", "Personal Treasurer Account",
+]
+
+
+def _any_of(phrases: list[str]) -> str:
+    return "(?:" + "|".join(p.replace("-", r"\-") for p in phrases) + ")"
 
 
 def candidate_of_committee(c: Column) -> Column:
-    """The person a candidate committee is named for, in capitals.
+    """The person a candidate committee is named for, in capitals; null for null and empty names.
 
-    "Last  First ... ending" (two blanks) is turned round; otherwise one opening and one ending are taken off.
+    In "Last  First ... ending" the given names end at the first of ``NAME_ENDS`` (in their order) that occurs; a name in
+    brackets stands for the given names if there are no others. Any other form loses one opening and one closing. Then
+    "A (B)" becomes "B A", and "A, B" becomes "B A".
     """
-    wide = c.rlike(r"^\S+\s{2,}\S")
-    up = F.upper(c)
-    ends = "|".join(NAME_ENDINGS)
-    body = F.regexp_replace(F.regexp_replace(up, rf"\s+-?\s*(?:{ends})\s*$", ""), r"[.,;:\-\s]+$", "")
-    turned = F.regexp_replace(body, r"^(\S+)\s{2,}(.+)$", "$2 $1")
-    opened = F.regexp_replace(up, rf"^(?:{'|'.join(NAME_OPENINGS)})\s+", "")
-    closed = F.regexp_replace(opened, rf"\s+(?:{ends})\s*$", "")
-    flipped = F.regexp_replace(F.regexp_replace(closed, r"^(\S+)\s+\(([^)]+)\)$", "$2 $1"), r"^([^,]+),\s*(.+)$", "$2 $1")
-    return candidate_name(F.when(wide, turned).otherwise(flipped))
+    wide = r"(?U)^([\w\s\-']+?)\s{2,}(.+)$"
+    only, bracket = r"^\(([^)]+)\)$", r"(?U)^(\w+)\s*\((\w+)\)"
+    ends = []
+    for phrase in NAME_ENDS:
+        words = r"\s+".join(phrase.removeprefix("- ").split())
+        ends.append("(?is)" + (rf"\s*-\s*{words}" if phrase.startswith("- ") else rf"\b{words}\b") + ".*$")
+
+    def given_names(rest: Column) -> Column:
+        # the first ending, in their order, that occurs
+        found = F.get(F.filter(F.array(*[F.lit(e) for e in ends]), lambda e: F.rlike(rest, e)), F.lit(0))
+        return F.when(found.isNull(), rest).otherwise(strip(F.regexp_replace(rest, found, "")))
+
+    def without_brackets(given: Column) -> Column:
+        bare = F.when(given.rlike(only), F.regexp_extract(given, only, 1)).otherwise(strip(F.regexp_replace(given, r"\s*\([^)]+\)\s*", " ")))
+        return F.regexp_replace(bare, r"[.,;:\-]+$", "")
+
+    def wide_form(name: Column) -> Column:
+        rest, last = strip(F.regexp_extract(name, wide, 2)), strip(F.regexp_extract(name, wide, 1))
+        return let(let(let(rest, given_names), without_brackets), lambda given: F.when(given == "", last).otherwise(F.concat(given, F.lit(" "), last)))
+
+    def other_form(name: Column) -> Column:
+        opened = strip(F.regexp_replace(F.regexp_replace(name, r"(?U)\s+", " "), "(?i)^" + _any_of(NAME_OPENINGS), ""))
+        return strip(F.regexp_replace(opened, "(?i)" + _any_of(NAME_CLOSINGS) + "$", ""))
+
+    def unbracketed(person: Column) -> Column:
+        return F.when(person.rlike(bracket), F.concat(F.regexp_extract(person, bracket, 2), F.lit(" "), F.regexp_extract(person, bracket, 1))).otherwise(person)
+
+    def unturned(person: Column) -> Column:
+        halves = F.split(person, ",", 2)
+        return F.when(person.contains(","), F.concat(strip(F.get(halves, F.lit(1))), F.lit(" "), strip(F.get(halves, F.lit(0))))).otherwise(person)
+
+    person = let(strip(c), lambda name: F.when(name.rlike(wide), wide_form(name)).otherwise(other_form(name)))
+    person = let(let(person, unbracketed), unturned)
+    return F.nullif(F.upper(strip(F.regexp_replace(person, r"(?U)\s+", " "))), F.lit(""))

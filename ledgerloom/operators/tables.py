@@ -19,15 +19,24 @@ def new_rows(source: DataFrame, target: DataFrame, key: Sequence[str]) -> DataFr
     return source.join(target.select(*key).distinct(), list(key), "left_anti")
 
 
+def once_per_key(source: DataFrame, key: Sequence[str]) -> DataFrame:
+    """The source's first row of each key, in the order of all its columns (nulls last), so repeats change nothing."""
+    order = [F.col(c).asc_nulls_last() for c in sorted(source.columns) if c not in key]
+    return first_by_key(source, key, order or [F.lit(1)])
+
+
 def insert_if_absent(target: DataFrame, source: DataFrame, key: Sequence[str]) -> DataFrame:
-    return target.unionByName(new_rows(source, target, key), allowMissingColumns=True)
+    """``target`` and the source rows of keys it lacks, each key once."""
+    return target.unionByName(once_per_key(new_rows(source, target, key), key), allowMissingColumns=True)
 
 
 def upsert(target: DataFrame, source: DataFrame, key: Sequence[str], update: Sequence[str], keep_old_on_null: bool = True) -> DataFrame:
     """``target`` with ``update`` columns taken from matching source rows, and with the source rows that match nothing.
 
-    A null in the source leaves the old value unless ``keep_old_on_null`` is off.
+    A null in the source leaves the old value unless ``keep_old_on_null`` is off. Of source rows that repeat a key the first
+    counts (:func:`once_per_key`).
     """
+    source = once_per_key(source, key)
     s = source.select(*key, *[F.col(c).alias(f"_new_{c}") for c in update], F.lit(True).alias("_hit"))
     joined = target.join(s, list(key), "left")
 
@@ -77,7 +86,11 @@ def project_to(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 class VersionedTable:
-    """A table as versions in one folder with a pointer to the current one; a write never touches what is being read."""
+    """A table as versions in one folder with numbered pointers to them; the highest number is the current one.
+
+    A write never touches what is being read: it adds a version and then, in one rename, a pointer to it. Whoever reads or
+    crashes in between sees the version before. A pointer number that another writer took meanwhile makes the write fail.
+    """
 
     def __init__(self, spark: SparkSession, root: str) -> None:
         self.spark, self.root = spark, root.rstrip("/")
@@ -85,11 +98,14 @@ class VersionedTable:
         self._path = jvm.org.apache.hadoop.fs.Path
         self._fs = self._path(self.root).getFileSystem(spark._jsc.hadoopConfiguration())
 
+    def _pointers(self) -> list[int]:
+        at = self._path(f"{self.root}/pointers")
+        names = [f.getPath().getName() for f in self._fs.listStatus(at)] if self._fs.exists(at) else []
+        return sorted(int(n) for n in names if n.isdigit())
+
     def current(self) -> str | None:
-        pointer = self._path(f"{self.root}/CURRENT")
-        if not self._fs.exists(pointer):
-            return None
-        return self.spark.read.text(f"{self.root}/CURRENT").first()[0]
+        numbers = self._pointers()
+        return self.spark.read.text(f"{self.root}/pointers/{numbers[-1]}").first()[0] if numbers else None
 
     def read(self) -> DataFrame:
         version = self.current()
@@ -98,12 +114,19 @@ class VersionedTable:
         return self.spark.read.parquet(f"{self.root}/{version}")
 
     def write(self, df: DataFrame) -> str:
-        version = f"v-{uuid.uuid4().hex}"
+        numbers, version = self._pointers(), f"v-{uuid.uuid4().hex}"
         df.write.parquet(f"{self.root}/{version}")
-        fresh = self._path(f"{self.root}/CURRENT-{version}")
+        fresh = self._path(f"{self.root}/fresh-{version}")
         self.spark.createDataFrame([(version,)], "value string").coalesce(1).write.text(fresh.toString())
-        old = self._path(f"{self.root}/CURRENT")
-        if self._fs.exists(old):
-            self._fs.delete(old, True)
-        self._fs.rename(fresh, old)
+        self._fs.mkdirs(self._path(f"{self.root}/pointers"))
+        target = self._path(f"{self.root}/pointers/{numbers[-1] + 1 if numbers else 1}")
+        if self._fs.exists(target) or not self._fs.rename(fresh, target):
+            raise RuntimeError(f"{self.root} was written meanwhile")
         return version
+
+    def rollback(self) -> str | None:
+        """Back to the version before the current one, which stays on disk; returns what is current then."""
+        numbers = self._pointers()
+        if numbers:
+            self._fs.delete(self._path(f"{self.root}/pointers/{numbers[-1]}"), True)
+        return self.current()

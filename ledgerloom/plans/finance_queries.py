@@ -290,51 +290,65 @@ def committee_candidate_name(s: SparkSession, d: str) -> DataFrame:
     return table(s, d, "bronze_md_committee").select("ccf_id", text.candidate_of_committee(F.col("committee_name")).alias("person"))
 
 
-def _map_sql(values: dict[str, str], c: str) -> str:
-    return f"CASE {c} " + " ".join("WHEN '" + k.replace("'", "''") + f"' THEN '{v}'" for k, v in values.items()) + " END"
+_PARTY = """CASE upper(trim(party)) WHEN 'DEMOCRATIC' THEN 'DEM' WHEN 'DEMOCRAT' THEN 'DEM' WHEN 'REPUBLICAN' THEN 'REP' WHEN 'GREEN' THEN 'GRN' WHEN 'GRE' THEN 'GRN' WHEN 'LIBERTARIAN' THEN 'LIB'
+  WHEN 'INDEPENDENT' THEN 'IND' WHEN 'UNAFFILIATED' THEN 'IND' WHEN 'UNA' THEN 'IND' WHEN 'NON-PARTISAN' THEN 'NPP' WHEN 'NONPARTISAN' THEN 'NPP' WHEN 'NON PARTISAN' THEN 'NPP' WHEN 'JUDICIAL' THEN 'NPP'
+  WHEN 'CONSTITUTION' THEN 'CON' WHEN 'WORKING CLASS' THEN 'WCP' WHEN 'BREAD AND ROSES' THEN 'BNR' WHEN 'OTHER CANDIDATES' THEN 'OTH' WHEN 'OTHER' THEN 'OTH' WHEN 'D' THEN 'DEM' WHEN 'R' THEN 'REP'
+  WHEN 'W' THEN 'WRI' ELSE substr(upper(trim(nullif(party, ''))), 1, 3) END"""
 
 
-@query(f"SELECT id, coalesce({_map_sql(codes.PARTY, 'upper(trim(party))')}, substr(upper(trim(party)), 1, 3)) AS code FROM bronze_md_candidate")
+@query(f"SELECT id, {_PARTY} AS code FROM bronze_md_candidate")
 def party_code(s: SparkSession, d: str) -> DataFrame:
     return table(s, d, "bronze_md_candidate").select("id", codes.party(F.col("party")).alias("code"))
 
 
-@query(
-    f"SELECT id, coalesce({_map_sql(codes.OFFICE, 'office_name')}, "
-    + ", ".join(f"CASE WHEN contains(upper(office_name), '{w}') THEN '{c}' END" for w, c in codes.OFFICE_WORDS)
-    + r", substr(split_part(regexp_replace(nullif(trim(upper(office_name)), ''), '\s+', ' ', 'g'), ' ', 1), 1, 20), 'OTHER') AS code FROM bronze_md_candidate"
-)
+_OFFICE = """CASE trim(office_name) WHEN 'Governor / Lt. Governor' THEN 'GOVERNOR' WHEN 'Lieutenant Governor' THEN 'LT_GOVERNOR' WHEN 'Attorney General' THEN 'ATTORNEY_GENERAL' WHEN 'Comptroller' THEN 'COMPTROLLER'
+  WHEN 'Treasurer' THEN 'TREASURER' WHEN 'House of Delegates' THEN 'STATE_HOUSE' WHEN 'Delegate' THEN 'STATE_HOUSE' WHEN 'County Executive' THEN 'COUNTY_EXEC' WHEN 'Clerk of the Circuit Court' THEN 'CIRCUIT_CLERK'
+  WHEN 'Judge of the Circuit Court' THEN 'CIRCUIT_JUDGE' WHEN 'Judge of the Orphans'' Court' THEN 'ORPHANS_JUDGE' WHEN 'Democratic Central Committee' THEN 'PARTY_COMM' WHEN 'Republican Central Committee' THEN 'PARTY_COMM'
+  WHEN 'Member of the City Council' THEN 'CITY_COUNCIL' WHEN 'President of the City Council' THEN 'CITY_COUNCIL' ELSE CASE
+  WHEN regexp_matches(lower(office_name), 'congress|representative') THEN 'US_HOUSE' WHEN lower(office_name) LIKE '%senator%' AND lower(office_name) LIKE '%state%' AND lower(office_name) NOT LIKE 'united%' THEN 'STATE_SENATE'
+  WHEN lower(office_name) LIKE '%senator%' THEN 'US_SENATE' WHEN regexp_matches(lower(office_name), 'national convention|alternate delegate') THEN 'NATL_DELEGATE'
+  WHEN lower(office_name) LIKE '%delegate%' AND lower(office_name) LIKE '%house%' THEN 'STATE_HOUSE' WHEN lower(office_name) LIKE '%governor%' THEN 'GOVERNOR'
+  WHEN regexp_matches(lower(office_name), 'city council|council - city') THEN 'CITY_COUNCIL' WHEN lower(office_name) LIKE '%council%' THEN 'COUNTY_COUNCIL' WHEN lower(office_name) LIKE '%commissioner%' THEN 'COUNTY_COMM'
+  WHEN lower(office_name) LIKE '%sheriff%' THEN 'SHERIFF' WHEN lower(office_name) LIKE '%judge%' THEN 'JUDGE' WHEN lower(office_name) LIKE '%board%' AND lower(office_name) LIKE '%education%' THEN 'SCHOOL_BOARD'
+  WHEN lower(office_name) LIKE '%clerk%' THEN 'CLERK' WHEN lower(office_name) LIKE '%register%' THEN 'REGISTER_WILLS' WHEN lower(office_name) LIKE '%attorney%' THEN 'STATES_ATTORNEY'
+  WHEN lower(office_name) LIKE '%central committee%' THEN 'PARTY_COMM' WHEN lower(office_name) LIKE '%treasurer%' THEN 'TREASURER'
+  ELSE coalesce(substr(split_part(regexp_replace(nullif(upper(trim(office_name)), ''), '\\s+', ' ', 'g'), ' ', 1), 1, 20), 'OTHER') END END"""
+
+
+@query(f"SELECT id, {_OFFICE} AS code FROM bronze_md_candidate")
 def office_code(s: SparkSession, d: str) -> DataFrame:
     return table(s, d, "bronze_md_candidate").select("id", codes.office(F.col("office_name")).alias("code"))
 
 
-@query(f"SELECT id, coalesce({_map_sql(codes.STATE_COMMITTEE, 'committee_type')}, 'OTHER') AS code FROM bronze_md_committee")
+@query("""SELECT id, CASE WHEN committee_type IN ('Candidate Committee', 'Gubernatorial Ticket Committee') THEN 'CANDIDATE' WHEN committee_type IN ('Party Central Committee', 'Legislative Party Caucus Committee') THEN 'PARTY'
+  WHEN committee_type IN ('Political Action Committee', 'Ballot Issue Committee', 'Slate Committee', 'Out-of-State Committee', 'Participating Organization Committee') THEN 'PAC'
+  WHEN committee_type IN ('Independent Expenditure', 'Super Political Action Committee') THEN 'SUPER_PAC' ELSE 'OTHER' END AS code FROM bronze_md_committee""")
 def committee_type_code(s: SparkSession, d: str) -> DataFrame:
-    return table(s, d, "bronze_md_committee").select("id", F.coalesce(codes.lookup(codes.STATE_COMMITTEE, F.col("committee_type")), F.lit("OTHER")).alias("code"))
+    return table(s, d, "bronze_md_committee").select("id", codes.state_committee_type(F.col("committee_type")).alias("code"))
 
 
-@query(
-    "SELECT id, CASE "
-    + " ".join("WHEN office IN (" + ", ".join(f"'{c}'" for c in cs) + f") THEN '{level}'" for level, cs in codes.LEVELS.items())
-    + " ELSE 'COUNTY' END AS level FROM gold_candidate"
-)
+@query("""SELECT id, CASE WHEN office IN ('US_HOUSE', 'US_SENATE', 'PRESIDENT') THEN 'FEDERAL' WHEN office IN ('GOVERNOR', 'LT_GOVERNOR', 'ATTORNEY_GENERAL', 'COMPTROLLER', 'TREASURER', 'STATE_SENATE',
+  'STATE_HOUSE', 'NATL_DELEGATE') THEN 'STATE' WHEN office IN ('CITY_COUNCIL', 'MAYOR') THEN 'CITY' ELSE 'COUNTY' END AS level FROM gold_candidate""")
 def jurisdiction_level(s: SparkSession, d: str) -> DataFrame:
     return table(s, d, "gold_candidate").select("id", codes.jurisdiction(F.coalesce("office", F.lit(""))).alias("level"))
 
 
-@query(r"""WITH n AS (SELECT id, district, nullif(regexp_extract(district, '(\d+)', 1), '') AS k, lower(district) AS low FROM bronze_md_candidate)
-  SELECT id, CASE WHEN k IS NULL THEN trim(district) WHEN contains(low, 'congressional') THEN 'MD-' || lpad(k, 2, '0') WHEN contains(low, 'legislative') THEN k
-  WHEN regexp_matches(low, 'councilmanic|commissioner') THEN 'District ' || k WHEN regexp_matches(low, 'circuit|judicial') THEN 'Circuit ' || k ELSE trim(district) END AS code FROM n""")
-def district_code(s: SparkSession, d: str) -> DataFrame:
-    return table(s, d, "bronze_md_candidate").select("id", codes.district(F.col("district")).alias("code"))
+_COUNTIES = """CASE upper({0}) WHEN 'PRINCE GEORGE''S' THEN 'Prince George''s' WHEN 'PRINCE GEORGE`S' THEN 'Prince George''s' WHEN 'SAINT MARY''S' THEN 'St. Mary''s' WHEN 'ST. MARY''S' THEN 'St. Mary''s'
+  WHEN 'QUEEN ANNE''S' THEN 'Queen Anne''s' END"""
 
 
-_COUNTY = _TITLE.format(r"regexp_replace(trim(jurisdiction), '(?i)\s+county$', '')")
-_CITY = _TITLE.format(r"regexp_replace(trim(jurisdiction), '(?i)\s+city$', '')")
+@query(rf"""WITH n AS (SELECT id, trim(nullif(district, '')) AS t, nullif(regexp_extract(district, '(\d+)', 1), '') AS k, lower(district) AS low, CASE WHEN coalesce(office_name, '') = '' THEN '' ELSE {_OFFICE} END AS o FROM bronze_md_candidate)
+  SELECT id, CASE WHEN o = 'US_HOUSE' OR contains(low, 'congressional') THEN coalesce('MD-' || CASE WHEN length(ltrim(k, '0')) < 2 THEN lpad(ltrim(k, '0'), 2, '0') ELSE ltrim(k, '0') END, t)
+  WHEN o IN ('STATE_SENATE', 'STATE_HOUSE') OR contains(low, 'legislative') THEN coalesce(k, t)
+  WHEN regexp_matches(low, 'councilmanic|commissioner district') THEN coalesce('District ' || k, t) WHEN regexp_matches(low, 'circuit|judicial') THEN coalesce('Circuit ' || k, t)
+  ELSE coalesce({_COUNTIES.format('t')}, CASE WHEN k IS NULL AND len(string_split_regex(t, '\s+')) <= 2 THEN {_TITLE.format('t')} END, t) END AS code FROM n""")
+def district_code(s: SparkSession, d: str) -> DataFrame:
+    return table(s, d, "bronze_md_candidate").select("id", codes.district(F.col("district"), F.col("office_name")).alias("code"))
 
 
-@query(rf"""SELECT id, CASE WHEN NOT regexp_matches(trim(jurisdiction), '(?i)\scity$') THEN {_COUNTY} END AS county,
-  CASE WHEN regexp_matches(trim(jurisdiction), '(?i)\scity$') THEN {_CITY} END AS city FROM bronze_md_candidate""")
+@query(rf"""WITH n AS (SELECT id, trim(nullif(jurisdiction, '')) AS t FROM bronze_md_candidate), m AS (SELECT id, t, trim(regexp_replace(t, '(?i) county$', '')) AS bare FROM n)
+  SELECT id, CASE WHEN lower(t) NOT IN ('baltimore city', 'city of baltimore') THEN coalesce({_COUNTIES.format('bare')}, {_TITLE.format('bare')}) END AS county,
+  CASE WHEN lower(t) IN ('baltimore city', 'city of baltimore') THEN 'Baltimore' END AS city FROM m""")
 def county_city(s: SparkSession, d: str) -> DataFrame:
     return table(s, d, "bronze_md_candidate").select("id", codes.county_city(F.col("jurisdiction")).alias("j")).select("id", "j.county", "j.city")
 
@@ -368,8 +382,7 @@ def state_date(s: SparkSession, d: str) -> DataFrame:
 @query(r"""SELECT id, CASE WHEN regexp_full_match(trim(contribution_amount), '-?\d{1,10}(\.\d{1,2})?') THEN TRY_CAST(trim(contribution_amount) AS DECIMAL(12,2)) END AS amount
   FROM bronze_md_contribution""")
 def amount_coerce(s: SparkSession, d: str) -> DataFrame:
-    t = F.trim("contribution_amount")
-    return table(s, d, "bronze_md_contribution").select("id", F.when(t.rlike(r"^-?\d{1,10}(\.\d{1,2})?$"), parse.amount(F.col("contribution_amount"))).alias("amount"))
+    return table(s, d, "bronze_md_contribution").select("id", parse.amount(F.col("contribution_amount")).alias("amount"))
 
 
 @query()

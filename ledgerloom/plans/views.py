@@ -64,23 +64,55 @@ def contributor_candidate_stats(fact: DataFrame, committees: DataFrame) -> DataF
 
 
 def mark_receipts(fact: DataFrame) -> DataFrame:
-    """is_earmark_receipt where another row of the source has this transaction id with an E behind it."""
-    pair = fact.where("source_transaction_id IS NOT NULL").select("source_system", F.col("source_transaction_id").alias("paired")).distinct()
-    hit = pair.withColumn("hit", F.lit(True))
-    keyed = fact.withColumn("paired", F.concat("source_transaction_id", F.lit("E")))
-    marked = keyed.join(hit, ["source_system", "paired"], "left")
-    return marked.withColumn("is_earmark_receipt", F.coalesce("hit", F.lit(False))).drop("paired", "hit")
+    """is_earmark_receipt where another row of the source has this transaction id with an E behind it.
+
+    Rows without an id cannot pair and stay out of the join, as they would all fall into one task.
+    """
+    has = F.col("source_transaction_id").isNotNull()
+    pair = fact.where(F.col("source_transaction_id").endswith("E")).select("source_system", F.col("source_transaction_id").alias("paired")).distinct()
+    keyed = fact.where(has).withColumn("paired", F.concat("source_transaction_id", F.lit("E")))
+    marked = keyed.join(pair.withColumn("hit", F.lit(True)), ["source_system", "paired"], "left")
+    marked = marked.withColumn("is_earmark_receipt", F.coalesce("hit", F.lit(False))).drop("paired", "hit")
+    return marked.unionByName(fact.where(~has).withColumn("is_earmark_receipt", F.lit(False)))
 
 
 def assign_conduits(fact: DataFrame) -> DataFrame:
     """conduit_committee_id of pass-through rows: the committee of the receipt, the smallest if there are several."""
+    has = F.col("source_transaction_id").isNotNull()
     receipts = (
-        mark_receipts(fact).where("is_earmark_receipt")
+        mark_receipts(fact.where(has)).where("is_earmark_receipt")
         .groupBy("source_system", F.concat("source_transaction_id", F.lit("E")).alias("source_transaction_id"))
         .agg(F.min("recipient_committee_id").alias("conduit"))
     )
-    out = fact.join(receipts, ["source_system", "source_transaction_id"], "left")
-    return out.withColumn("conduit_committee_id", F.coalesce("conduit_committee_id", "conduit")).drop("conduit")
+    out = fact.where(has).join(receipts, ["source_system", "source_transaction_id"], "left")
+    out = out.withColumn("conduit_committee_id", F.coalesce("conduit_committee_id", "conduit")).drop("conduit")
+    return out.unionByName(fact.where(~has))
+
+
+def federal_direct(fact: DataFrame) -> DataFrame:
+    """The older rule: federal rows whose transaction id is given and does not end in E."""
+    return fact.where("source_system = 'FEC'").where(~F.col("source_transaction_id").endswith("E"))
+
+
+def legacy_stats(fact: DataFrame, keys: list[str]) -> DataFrame:
+    """The older serving views: counts and totals of :func:`federal_direct` rows by ``keys``, null keys left out."""
+    rows = federal_direct(fact)
+    for k in keys:
+        rows = rows.where(F.col(k).isNotNull())
+    return rows.groupBy(*keys).agg(*_money())
+
+
+def write_ranked(view: DataFrame, path: str, by: str, measure: str = "total_amount") -> None:
+    """A serving view laid out for ranked pages: range-partitioned by ``by``, sorted within by ``measure``, largest first, so
+    a page of one key reads a few row groups in order."""
+    order = [F.col(by).asc_nulls_last(), F.col(measure).desc_nulls_last()]
+    view.repartitionByRange(F.col(by).asc_nulls_last()).sortWithinPartitions(*order).write.mode("overwrite").parquet(path)
+
+
+def ranked_page(view: DataFrame, by: str, value: object, n: int, measure: str = "total_amount", tie: str | None = None) -> DataFrame:
+    """The ``n`` largest rows of one key; the filter reaches the scan."""
+    order = [F.col(measure).desc_nulls_last(), *([F.col(tie)] if tie else [])]
+    return view.where(F.col(by) == F.lit(value)).orderBy(*order).limit(n)
 
 
 def top_recipients(fact: DataFrame, committees: DataFrame, k: int = 10) -> DataFrame:
@@ -94,15 +126,18 @@ def totals_by_type(fact: DataFrame, k: int = 10) -> DataFrame:
 
 
 def refresh(views: dict[str, Callable[[], DataFrame]], root: str) -> dict[str, str]:
-    """Each view written as a new version; one that fails does not stop the others. Returns a status per view."""
+    """Each view written as a new version; one that fails does not stop the others. Returns a status per view, with the
+    error's text; if all fail the last error is raised."""
     from ledgerloom.operators.tables import VersionedTable
 
-    status = {}
+    status, failed = {}, None
     for name, build in views.items():
         try:
             df = build()
             VersionedTable(df.sparkSession, f"{root}/{name}").write(df)
             status[name] = "refreshed"
         except Exception as error:  # noqa: BLE001
-            status[name] = f"failed: {type(error).__name__}"
+            status[name], failed = f"failed: {type(error).__name__}" + (f": {error}" if str(error) else ""), error
+    if failed is not None and all(v != "refreshed" for v in status.values()):
+        raise failed
     return status

@@ -49,6 +49,17 @@ def value(spark, column):
         (lambda: codes.committee_type(C(None).cast("string"), C("P")), "OTHER"),
         (lambda: codes.party(C("Forward")), "FOR"),
         (lambda: codes.office(C("Clerk of Court")), "CLERK"),
+        (lambda: codes.office(C("  ")), "OTHER"),
+        (lambda: codes.office(C("State Senator District 4")), "STATE_SENATE"),
+        (lambda: codes.office(C("Alternate Delegate to the National Convention")), "NATL_DELEGATE"),
+        (lambda: codes.district(C("6"), C("Representative in Congress")), "MD-06"),
+        (lambda: codes.district(C("District 123"), C("U.S. Representative")), "MD-123"),
+        (lambda: codes.district(C("Legislative District 31")), "31"),
+        (lambda: codes.district(C("PRINCE GEORGE`S")), "Prince George's"),
+        (lambda: codes.district(C("anne arundel")), "Anne Arundel"),
+        (lambda: codes.readable_office(C("US_HOUSE")), "U.S. Representative"),
+        (lambda: codes.readable_office(C("SHERIFF")), "SHERIFF"),
+        (lambda: codes.only_at_level(C("Kent"), C("STATE"), "COUNTY"), None),
         (lambda: codes.district(C("Congressional District 6")), "MD-06"),
         (lambda: codes.district(C("Councilmanic District 4")), "District 4"),
         (lambda: parse.election_year(C(2023)), 2024),
@@ -59,6 +70,18 @@ def test_golden(spark, column, expected):
     assert value(spark, column()) == expected
 
 
+@pytest.mark.parametrize(
+    ("name", "person"),
+    [
+        ("Zubairi  Daniel - Personal Treasurer Account", "DANIEL ZUBAIRI"), ("Guthrie  Dion F. Citizens to Elect", "DION F GUTHRIE"),
+        ("Arango Millan  Juan (Johnny) for Allegany", "JUAN ARANGO MILLAN"), ("Roe  (Nick) Friends of", "NICK ROE"), ("Smith (John) for Delegate", "JOHN SMITH"),
+        ("Smith, John for Sheriff", "JOHN SMITH"), ("Re-Elect Ann Lee Campaign", "ANN LEE"), ("Lee  Ann for County Council Citizens for", "ANN FOR COUNTY COUNCIL LEE"), ("Ann Lee for Alaska", "ANN LEE FOR ALASKA"), ("", None),
+    ],
+)
+def test_candidate_of_committee_rules(spark, name, person):
+    assert value(spark, text.candidate_of_committee(C(name))) == person
+
+
 @pytest.mark.parametrize("name", ["Friends of John Smith", "John Smith for Governor", "Committee to Elect John Smith", "Smith  John Friends of"])
 def test_candidate_of_committee(spark, name):
     assert value(spark, text.candidate_of_committee(C(name))) == "JOHN SMITH"
@@ -77,4 +100,6 @@ def test_confidence(spark):
 
 def test_county_city(spark):
     assert tuple(value(spark, codes.county_city(C("Baltimore City")))) == (None, "Baltimore")
-    assert tuple(value(spark, codes.county_city(C("Prince George's County")))) == ("Prince George'S", None)
+    assert tuple(value(spark, codes.county_city(C("Prince George's County")))) == ("Prince George's", None)
+    assert tuple(value(spark, codes.county_city(C("City of Baltimore")))) == (None, "Baltimore")
+    assert tuple(value(spark, codes.county_city(C("Rockville City")))) == ("Rockville City", None)

@@ -1,3 +1,5 @@
+import pytest
+
 from ledgerloom.operators import tables as T
 from ledgerloom.plans import views as V
 from ledgerloom.sources import bulk, rest, state_csv
@@ -13,6 +15,57 @@ def test_upsert_is_idempotent_and_keeps_old_values(spark):
     assert sorted(map(tuple, T.upsert(once, s, ["id"], ["v", "w"]).collect())) == rows
 
 
+def test_repeated_source_keys_count_once(spark):
+    t = spark.createDataFrame([(1, "a")], "id int, v string")
+    s = spark.createDataFrame([(1, "c"), (1, "b"), (2, "e"), (2, "d")], "id int, v string")
+    assert sorted(map(tuple, T.upsert(t, s, ["id"], ["v"]).collect())) == [(1, "b"), (2, "d")]
+    assert sorted(map(tuple, T.insert_if_absent(t, s, ["id"]).collect())) == [(1, "a"), (2, "d")]
+    assert sorted(map(tuple, T.insert_if_absent(t.select("id"), s.select("id"), ["id"]).collect())) == [(1,), (2,)]
+
+
+def test_cut_refuses_a_local_folder_off_a_local_master():
+    from ledgerloom import session
+
+    class Conf:
+        def get(self, key, default=None):
+            return {"spark.master": "spark://host:7077"}.get(key, default)
+
+    class Far:
+        conf = Conf()
+
+    with pytest.raises(RuntimeError, match="checkpoint.dir"):
+        session.shared_folder(Far())
+
+
+def test_cut_tables_are_deleted(spark):
+    from ledgerloom import session
+
+    a = session.cut(spark.range(3))
+    b = session.cut(a.where("id > 0"))
+    session.discard(a, spark.range(1))
+    assert b.count() == 2 and a._cut_path not in session._tables
+    session.release(spark)
+    assert not session._tables
+
+
+def test_state_counts_rows_read_again_once(spark):
+    cols = "recipient_committee_id long, election_cycle int, contribution_date date, source_sub_id string"
+    rows = spark.sql("select 1L recipient_committee_id, 2024 election_cycle, date_add(date'2024-01-01', cast(id as int)) contribution_date, cast(id as string) source_sub_id from range(5) t(id)")
+    state = I.extraction_state(rows.where("contribution_date < '2024-01-04'"))
+    read = I.window_rows(rows, state, 2)
+    merged = I.merge_state(state, read)
+    assert [(r.n, str(r.last_date)) for r in merged.collect()] == [(5, "2024-01-05")]
+    assert [r.n for r in I.merge_state(merged, read).collect()] == [5]
+    assert I.merge_state(merged, spark.createDataFrame([], cols)).first().n == 5
+
+
+def test_reconciliation(spark):
+    t = spark.createDataFrame([(1, "a"), (9, "z")], "id int, v string")
+    s = spark.createDataFrame([(1, "a"), (2, "b"), (2, "b")], "id int, v string")
+    missing, counts = I.reconcile(t, s, ["id"])
+    assert [tuple(r) for r in missing.collect()] == [(2, "b")] and tuple(counts.first()) == (3, 2, 1, 1)
+
+
 def test_new_ids_are_dense_and_ordered(spark):
     new = spark.createDataFrame([(f"k{i:03d}",) for i in range(50)], "k string")
     taken = spark.createDataFrame([(7,)], "id long")
@@ -25,6 +78,8 @@ def test_versioned_table(spark, tmp_path):
     t.write(spark.range(3))
     t.write(t.read().where("id > 0"))
     assert t.read().count() == 2
+    t.rollback()
+    assert t.read().count() == 3
 
 
 def test_refresh_isolates_failures(spark, tmp_path):
