@@ -44,9 +44,22 @@ def _mapped(df: DataFrame, names: dict[str, str]) -> DataFrame:
     return df.select(*[F.col(k).alias(v) for k, v in names.items() if k in df.columns])
 
 
+def present(spark: SparkSession, files: list[tuple[str, str]]) -> list[tuple[str, str]]:
+    """Those (path, header file) pairs that are both there; the others are passed over."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path
+
+    def there(path: str) -> bool:
+        at = hadoop(path)
+        return at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at)
+
+    return [(p, h) for p, h in files if there(p) and there(h)]
+
+
 def contributions(spark: SparkSession, files: list[tuple[str, str]], cycle: int) -> DataFrame:
     """Union of the contribution files (path, header file), cleaned and typed."""
-    parts = [_mapped(scan(spark, p, h), CONTRIBUTION) for p, h in files]
+    parts = [_mapped(scan(spark, p, h), CONTRIBUTION) for p, h in present(spark, files)]
+    if not parts:
+        raise FileNotFoundError(str(files))
     df = parts[0]
     for p in parts[1:]:
         df = df.unionByName(p, allowMissingColumns=True)

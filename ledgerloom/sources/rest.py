@@ -1,9 +1,10 @@
 """Paged REST resources as a Spark data source.
 
 ``spark.dataSource.register(PagedSource)``, then ``spark.read.format("paged").option("transport", "module:function")``.
-The transport takes a dict of parameters and returns one page: {"results": [...], "next": {...} or None}. Each value of
-the option ``keys`` is one partition and is read page by page on its executor; ``min_date`` and ``max_date`` are passed
-to the transport, so the server does the filtering.
+The transport takes a dict of parameters and returns one page: {"results": [...], "next": {...} or None}. The values of
+the option ``keys`` are read page by page in at most ``parallel`` partitions, which share the allowed rate between them;
+``min_date`` and ``max_date`` are passed to the transport, so the server does the filtering. A column ``next_cursor`` holds,
+as JSON, where a row's page ends; the option ``cursors`` (JSON, key to cursor) resumes there, and a key with a null cursor is done.
 """
 
 from __future__ import annotations
@@ -68,30 +69,38 @@ def with_retries(call: Callable[[], dict], tries: int = 5, first: float = 1.0, t
 
 
 class KeyPartition(InputPartition):
-    def __init__(self, key: str) -> None:
-        self.key = key
+    def __init__(self, keys: list[str], share: int) -> None:
+        self.keys, self.share = keys, share
 
 
 class PagedReader(DataSourceReader):
     def __init__(self, schema: StructType, options: dict[str, str]) -> None:
         self.names, self.options = schema.names, options
+        self.perminute, self.perhour = int(options.get("perminute", 55)), int(options.get("perhour", 950))
 
     def partitions(self) -> list[KeyPartition]:
-        return [KeyPartition(k) for k in self.options.get("keys", "").split(",")]
+        keys = [k for k in self.options.get("keys", "").split(",") if k]
+        n = max(1, min(int(self.options.get("parallel", 4)), len(keys), self.perminute, self.perhour))
+        return [KeyPartition(keys[i::n], n) for i in range(n)]
 
     def read(self, partition: KeyPartition) -> Iterator[tuple]:
         module, _, name = self.options["transport"].partition(":")
         transport = getattr(importlib.import_module(module), name)
-        limit = RateLimit({60.0: int(self.options.get("perminute", 55)), 3600.0: int(self.options.get("perhour", 950))}, float(self.options.get("gap", 1.1)))
-        params: dict = {"key": partition.key, "per_page": int(self.options.get("perpage", 100))}
-        params |= {k: self.options[o] for k, o in (("min_date", "mindate"), ("max_date", "maxdate")) if o in self.options}
-        cursor: dict | None = {}
-        while cursor is not None:
-            limit.wait()
-            page = with_retries(lambda: transport(params | cursor))  # noqa: B023
-            for row in page["results"]:
-                yield tuple(json.dumps(row) if n == "raw_json" else row.get(n) for n in self.names)
-            cursor = page.get("next") if page["results"] else None
+        # partitions run at the same time, so each has its part of the quota and waits so many times the gap
+        n = partition.share
+        limit = RateLimit({60.0: self.perminute // n, 3600.0: self.perhour // n}, float(self.options.get("gap", 1.1)) * n)
+        given: dict = {"per_page": int(self.options.get("perpage", 100))}
+        given |= {k: self.options[o] for k, o in (("min_date", "mindate"), ("max_date", "maxdate")) if o in self.options}
+        starts = json.loads(self.options.get("cursors", "{}"))
+        for key in partition.keys:
+            cursor: dict | None = starts.get(key, {})
+            while cursor is not None:
+                limit.wait()
+                page = with_retries(lambda: transport(given | {"key": key} | cursor))  # noqa: B023
+                cursor = page.get("next") if page["results"] else None
+                own = {"raw_json": json.dumps, "next_cursor": lambda _: json.dumps(cursor)}  # noqa: B023
+                for row in page["results"]:
+                    yield tuple(own[n](row) if n in own else row.get(n) for n in self.names)
 
 
 class PagedSource(DataSource):

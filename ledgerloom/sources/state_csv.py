@@ -39,25 +39,36 @@ LEGACY = {
 CANDIDATE_KEY = ["office_name", "district", "candidate_last_name", "candidate_first_name", "party", "election_year", "election_type"]
 
 
-def _named(spark: SparkSession, path: str | list[str], names: dict[str, str]) -> DataFrame:
-    raw = spark.read.option("header", True).option("escape", '"').option("multiLine", True).csv(path)
+def _named(spark: SparkSession, path: str | list[str], names: dict[str, str], multi_line: bool = False) -> DataFrame:
+    """The known columns; with ``multi_line`` quoted fields may hold line ends, but then a file is read by one task."""
+    raw = spark.read.option("header", True).option("escape", '"').option("multiLine", multi_line).csv(path)
     return raw.select(*[text.csv_null(F.col(f"`{k}`")).alias(v) for k, v in names.items() if k in raw.columns])
 
 
-def contributions(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    df = _named(spark, path, CONTRIBUTION)
+def contributions(spark: SparkSession, path: str | list[str], years: list[int] | None = None, first: str | None = None, last: str | None = None, multi_line: bool = False) -> DataFrame:
+    """Contributions once a content hash, of the filing ``years`` and of days between ``first`` and ``last`` (ISO), if given."""
+    df = _named(spark, path, CONTRIBUTION, multi_line)
+    if years is not None:
+        df = df.where(F.regexp_extract(F.coalesce("filing_period", F.lit("")), r"(\d{4})", 1).isin([str(y) for y in years]))
+    day = parse.state_date(F.col("contribution_date"))
+    df = df.where(day >= F.lit(first).cast("date")) if first else df
+    df = df.where(day <= F.lit(last).cast("date")) if last else df
     key = ["receiving_committee", "contribution_date", "contributor_name", "contributor_address", "contribution_amount", "contribution_type"]
     hashed = df.withColumn("content_hash", parse.content_hash(*[F.col(c) for c in key]))
     return first_by_key(hashed, ["content_hash"], sorted(hashed.columns))
 
 
-def committees(spark: SparkSession, path: str | list[str]) -> DataFrame:
+def committees(spark: SparkSession, path: str | list[str], status: str | None = None, kind: str | None = None) -> DataFrame:
+    """Committees once a register number, of one ``status`` and type (``kind``) if given."""
     df = _named(spark, path, COMMITTEE).where("ccf_id IS NOT NULL")
+    df = df.where(F.lower("committee_status") == status.lower()) if status else df
+    df = df.where(F.col("committee_type") == kind) if kind else df
     return first_by_key(df, ["ccf_id"], sorted(df.columns))
 
 
 def election_type(name: F.Column) -> F.Column:
-    low = F.lower(name)
+    """Said by a file's name; folders do not matter."""
+    low = F.lower(F.substring_index(name, "/", -1))
     return F.when(low.contains("special"), "Special").when(low.contains("general"), "General").otherwise("Primary")
 
 

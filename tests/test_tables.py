@@ -141,6 +141,37 @@ def test_paged_reader_and_limits():
     assert times == [0.0, 1.0, 10.0, 11.0]
 
 
+def test_paged_reader_shares_the_quota_and_resumes():
+    from pyspark.sql.types import StructType
+
+    schema = StructType().add("sub_id", "string").add("next_cursor", "string")
+    options = {"keys": ",".join("abcdefgh"), "transport": f"{__name__}:pages", "gap": "0", "perminute": "40", "parallel": "4"}
+    parts = rest.PagedReader(schema, options).partitions()
+    assert len(parts) == 4 and sorted(k for p in parts for k in p.keys) == list("abcdefgh") and all(40 // p.share == 10 for p in parts)
+    reader = rest.PagedReader(schema, options | {"keys": "a,b", "cursors": '{"a": {"last": 2}, "b": null}'})
+    rows = [row for p in reader.partitions() for row in reader.read(p)]
+    assert rows == [("a-2", '{"last": 4}'), ("a-3", '{"last": 4}'), ("a-4", "null")]
+
+
+def test_missing_bulk_files_are_passed_over(spark, tmp_path):
+    (tmp_path / "h.csv").write_text("CMTE_ID,NAME,ZIP_CODE,TRANSACTION_DT,TRANSACTION_AMT,ENTITY_TP,STATE,SUB_ID\n")
+    (tmp_path / "f.txt").write_text("C1|DOE|02139|1052024|12.5|IND|md|9\n")
+    files = [(f"{tmp_path}/f.txt", f"{tmp_path}/h.csv"), (f"{tmp_path}/none.txt", f"{tmp_path}/h.csv")]
+    assert bulk.contributions(spark, files, 2024).count() == 1
+
+
+def test_state_filters_and_file_names(spark, tmp_path):
+    head = "Receiving Committee,Filing Period,Contribution Date,Contributor Name,Contributor Address,Contributor Type,Contribution Type,Contribution Amount,Employer Name,Employer Occupation,Office,Fundtype"
+    lines = ["A,2024 Annual,01/05/2024,X,,,,1,,,,", "A,2025 Annual,02/05/2025,Y,,,,2,,,,", '"A, ""B""",2025 Annual,03/05/2025,Z,,,,3,,,,']
+    (tmp_path / "c.csv").write_text("\n".join([head, *lines]) + "\n")
+    names = lambda df: sorted(r.contributor_name for r in df.collect())
+    assert names(state_csv.contributions(spark, f"{tmp_path}/c.csv")) == ["X", "Y", "Z"]
+    assert names(state_csv.contributions(spark, f"{tmp_path}/c.csv", years=[2025], last="2025-02-28")) == ["Y"]
+    from pyspark.sql import functions as F
+
+    assert spark.range(1).select(state_csv.election_type(F.lit("/special/2022/general.csv")).alias("t")).first().t == "General"
+
+
 def test_new_files_are_seen_once(spark, tmp_path):
     spark.range(3).write.parquet(f"{tmp_path}/in/a")
     seen = []
