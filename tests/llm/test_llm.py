@@ -204,6 +204,63 @@ def test_confirmed_rows_have_entities_but_are_no_pairs(spark, tmp_path):
     assert [(r.field, r.id_a, r.id_b) for r in queries.p1_found(spark, str(tmp_path)).collect()] == [(FIELD, 2, 3)]
 
 
+PROFILE = "no long, pid string, last string, lasts array<string>, first string, firsts array<string>, mid string, suffix string, place string, emp string, occ string, called string"
+
+
+def test_pairs_that_cannot_reach_the_floor_are_not_formed(spark, monkeypatch):
+    given = ["Aaron", "Abigail", "Adelaide", "Ambrose", "Archibald", "Augustus"]
+    rows = [(i, f"p{i}", "smithson", ["smithson"], g.lower(), [g.lower()], "", "", "21000", "acme", "attorney", "") for i, g in enumerate(given)]
+    rows.append((9, "p9", "smithson", ["smithson"], "ambrose", ["ambrose"], "", "", "21000", "", "", ""))
+    met = []
+    monkeypatch.setattr(variants, "meet", lambda *a: met.append(sparse.meet(*a)) or met[-1])
+    links = variants.person_links(spark.createDataFrame(rows, PROFILE), False).collect()
+    assert [{r.a, r.b} for r in links] == [{"p3", "p9"}]
+    assert met[0].count() < 5
+
+
+@pytest.mark.parametrize("address", [True, False])
+def test_no_pair_that_reaches_the_floor_is_left_out_by_its_traits(spark, address):
+    rng = random.Random(3)
+    pick = rng.choice
+    rows = []
+    for i in range(120):
+        last, first = pick(["marlow", "marlov", "harlow", "de-marlow", "oakes"]), pick(["robert", "rob", "bob", "r", "roberta", "james", ""])
+        rows.append((
+            i, f"p{i}", last, [last, *rng.sample(["marlow", "harlow"], rng.randrange(3))], first, [first, *(["robert"] if first in ("rob", "bob") else [])],
+            pick(["", "k", "kim", "kin", "joan"]), pick(["", "", "jr", "sr"]), pick(["", "21000", "21001"]),
+            pick(["", "acmebolt", "acmebelt", "boltworks", "zzz"]), pick(["", "attorney", "clerk"]), pick(["", "robert", "james"]),
+        ))
+    df = spark.createDataFrame(rows, PROFILE)
+    traits = df.select("no", *variants._traits())
+    x, y = df.alias("x"), df.alias("y")
+    yes = x.crossJoin(y).where("x.no < y.no")
+    over = {(r.a, r.b) for r in yes.select(F.col("x.no").alias("a"), F.col("y.no").alias("b"), variants.person_score(F.lit(address)).alias("s")).where(F.col("s") >= variants.FLOOR).collect()}
+    both = traits.alias("l").crossJoin(traits.alias("r")).where("l.no < r.no")
+    kept = {(r.a, r.b) for r in both.where(variants.may_link(F.lit(address))).select(F.col("l.no").alias("a"), F.col("r.no").alias("b")).collect()}
+    assert over and over <= kept and len(kept) < both.count()
+
+
+def test_words_two_edits_apart_share_a_key(spark):
+    rng = random.Random(8)
+    words = {"ab", "abc", "abcde"}
+    for n in (2, 3, 4, 5, 6, 9, 22, 23, 24, 25, 26, 27, 40):
+        w = "".join(rng.choice("abcd") for _ in range(n))
+        words.add(w)
+        for _ in range(12):
+            v = w
+            for _ in range(rng.randint(1, 2)):
+                at = rng.randrange(len(v) + 1)
+                v = v[:at] + rng.choice(["", rng.choice("abcd")]) + v[at + rng.randint(0, 1) :]
+            words.add(v)
+    df = spark.createDataFrame([(w,) for w in sorted(words) if len(w) > 1], "word string")
+    keys = {r.word: set(r.keys) for r in df.select("word", variants.edit_keys(F.col("word")).alias("keys")).collect()}
+    most = F.when(F.greatest(F.length("l.word"), F.length("r.word")) >= 5, 2).otherwise(1)
+    near = df.alias("l").crossJoin(df.alias("r")).where("l.word < r.word").where(F.levenshtein("l.word", "r.word") <= most)
+    pairs = [(r.a, r.b) for r in near.select(F.col("l.word").alias("a"), F.col("r.word").alias("b")).collect()]
+    assert sum(len(a) > 25 for a, b in pairs) > 5 and sum(len(a) < 5 for a, b in pairs) > 5
+    assert all(keys[a] & keys[b] for a, b in pairs)
+
+
 def test_no_records(spark):
     assert _members(spark, []).count() == 0
 
